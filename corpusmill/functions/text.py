@@ -37,10 +37,12 @@ def words_of(text: Column) -> Column:
 
 
 def with_prefix_space(text: Column) -> Column:
-    """The text with one space in front unless it already starts with white space."""
-    return F.when(
-        (text == F.lit("")) | text.rlike(r"(?U)^\s"), text
-    ).otherwise(F.concat(F.lit(" "), text))
+    """The text with one space in front unless it is empty or already starts with one."""
+    return F.when(lacks_prefix_space(text), F.concat(F.lit(" "), text)).otherwise(text)
+
+
+def lacks_prefix_space(text: Column) -> Column:
+    return (text != F.lit("")) & ~text.startswith(" ")
 
 
 def content_hash(content: Column) -> Column:

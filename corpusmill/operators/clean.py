@@ -9,6 +9,7 @@ import unicodedata
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from corpusmill.functions.text import collapse_non_ascii, has_txt_extension
 
@@ -22,7 +23,7 @@ TERMINAL_ESCAPES = r"\x1b\[[0-9;]*[a-zA-Z]"
 _ENTITY = re.compile(r"&#?[0-9A-Za-z]{1,24};")
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(StringType())
 def _entities_and_nfkc(texts: pa.Array) -> pa.Array:
     """The two steps Spark has no expression for; plain ASCII without entities passes untouched."""
     return pa.array(
@@ -31,7 +32,7 @@ def _entities_and_nfkc(texts: pa.Array) -> pa.Array:
     )
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(StringType())
 def nfkc(texts: pa.Array) -> pa.Array:
     """Unicode normalisation form KC."""
     return pa.array(
