@@ -233,16 +233,17 @@ def _origins(text: str) -> tuple[np.ndarray, np.ndarray]:
     """For every character of the NFKC form the span of the original characters it comes from.
 
     A base character and the marks that follow it normalise independently of their surroundings unless
-    what follows composes with them, so the text is cut before each character that starts anew."""
-    at, to, begin = [], [], 0
+    what follows composes with them, so the text is cut before each character that starts anew. Within
+    such a piece characters correspond in order; what is composed counts as its first character, what a
+    character expands to counts as that character."""
+    at, begin = [], 0
     for i in range(1, len(text) + 1):
         if i < len(text) and (unicodedata.combining(text[i]) or not _stable(text[begin:i], text[i])):
             continue
         n = len(unicodedata.normalize("NFKC", text[begin:i]))
-        at += [begin] * n
-        to += [i] * n
+        at += [begin + min(k, i - begin - 1) for k in range(n)]
         begin = i
-    return np.array(at, np.int64), np.array(to, np.int64)
+    return np.array(at, np.int64), np.array(at, np.int64) + 1
 
 
 def _stable(left: str, right: str) -> bool:
