@@ -15,6 +15,20 @@ PRETOKEN_PATTERN = (
     r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
 
+# Fixed value: the characters that stripping removes at both ends.
+WHITE_SPACE = "".join(
+    map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+)
+
+
+def strip(text: Column) -> Column:
+    return F.btrim(text, F.lit(WHITE_SPACE))
+
+
+def trigrams_of(text: Column) -> Column:
+    """All character trigrams, overlaps included, in linear time; shorter texts give none."""
+    return F.regexp_extract_all(text, F.lit(r"(?s)(?=([^\uDC00-\uDFFF]..))"), F.lit(1))
+
 
 def lines_of(text: Column) -> Column:
     """Lines with their terminators kept; no empty piece after a final terminator."""
