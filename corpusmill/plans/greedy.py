@@ -26,6 +26,7 @@ from corpusmill.session import cut_lineage
 # A block spans about this many items, which is what one task holds.
 ITEMS_PER_BLOCK = 200_000
 _JUMPS = "block long, at long, to long, hops long, last long"
+_WALK = "at long, to long, hops long, last long, chunk long"
 
 
 def cut_when_reached(
@@ -69,6 +70,10 @@ def _cut(
     while spans[-1] <= total:
         spans.append(spans[-1] * fanout)
 
+    if len(spans) == 1:
+        # One block holds everything: the walk enters it at 0 and nothing needs composing.
+        walk = items.sparkSession.createDataFrame([(0, 0, 0, 0, 0)], _WALK)
+        return _assign(items, keys, walk, spans[0], next_cut, total)
     jumps = [cut_lineage(_block_jumps(items, spans[0], limit, next_cut, total))]
     for span in spans[1:]:
         jumps.append(cut_lineage(_compose(jumps[-1], span, limit)))
@@ -193,7 +198,7 @@ def _follow(lower: DataFrame, walk: DataFrame, span: int) -> DataFrame:
     return (
         below.unionByName(walk.select(block, *names))
         .groupBy("block")
-        .applyInArrow(follow, ", ".join(f"{n} long" for n in names))
+        .applyInArrow(follow, _WALK)
     )
 
 

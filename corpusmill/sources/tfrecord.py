@@ -93,9 +93,9 @@ def list_files(location: str) -> list[str]:
 
 
 def _filesystem(path: str) -> tuple[fs.FileSystem, str]:
-    if "://" in path or path.startswith("file:"):
-        return fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path)
-    return fs.LocalFileSystem(), path
+    if path.startswith("file:/") and not path.startswith("file://"):
+        path = path.removeprefix("file:")
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
 @dataclass
@@ -112,7 +112,7 @@ class _Reader(DataSourceReader):
 
     def read(self, partition: _File) -> Iterator[pa.RecordBatch]:
         filesystem, path = _filesystem(partition.path)
-        with filesystem.open_input_stream(path, buffer_size=_READ_BYTES) as raw:
+        with filesystem.open_input_stream(path, compression=None, buffer_size=_READ_BYTES) as raw:
             for records in _batched(_records(_decompressed(raw, path))):
                 yield decode_examples(records, self.schema)
 
@@ -214,7 +214,7 @@ class _Writer(DataSourceArrowWriter):
                         raise ValueError(f"sort by {self.shard} within partitions before writing")
                     staged = f"{staging}/{uuid.uuid4().hex}"
                     files.append((staged, final))
-                    out, current = _Compressed(filesystem.open_output_stream(staged), self.compression), shard
+                    out, current = _Compressed(filesystem.open_output_stream(staged, compression=None), self.compression), shard
                 out.write(frame_records(encode_examples(rows)))
         if out is not None:
             out.close()
