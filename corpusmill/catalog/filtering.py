@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusmill.catalog.tables import table
+from corpusmill.catalog.tables import documents, table
 from corpusmill.catalog.texts import LINES_SQL
 from corpusmill.operators import lang
 from corpusmill.operators.units import split_units
@@ -18,7 +18,7 @@ KEYS = ["doc_id", "unit_no"]
 
 
 def lines(spark, sf_dir):
-    return split_units(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), "line")
+    return split_units(documents(spark, sf_dir, "doc_id", "lang", "text"), "line")
 
 
 def model(spark, sf_dir):
@@ -38,10 +38,16 @@ def lang_predict(spark, sf_dir):
     return scored.withColumn("score", F.round("score", 6))
 
 
+def lang_predict_by_join(spark, sf_dir):
+    """The same scores the way a model of any size gets them."""
+    scored = lang.score_by_join(lines(spark, sf_dir).drop("lang"), model(spark, sf_dir), LANGUAGES, KEYS)
+    return scored.withColumn("score", F.round("score", 6))
+
+
 def lang_filter(reverse):
     def query(spark, sf_dir):
         units = lines(spark, sf_dir).drop("lang")
-        return lang.filter_units(units, model(spark, sf_dir), LANGUAGES, KEYS, WANTED, reverse=reverse)
+        return lang.filter_units(units, model(spark, sf_dir), LANGUAGES, WANTED, reverse=reverse, keys=KEYS)
 
     return query
 
@@ -60,6 +66,7 @@ def stream_lang_filter(spark, sf_dir):
 QUERIES = {
     "lang_model": lang_model,
     "lang_predict": lang_predict,
+    "lang_predict_by_join": lang_predict_by_join,
     "lang_filter": lang_filter(False),
     "lang_filter_reverse": lang_filter(True),
     "stream_lang_filter": stream_lang_filter,
@@ -108,6 +115,8 @@ KEPT = "lang IN ('en', 'fr') AND score > 0.9"
 ORACLES = {
     "lang_model": f"WITH {MODEL_SQL} SELECT gram, {_sums('w_{0}')} FROM weights",
     "lang_predict": f"WITH {MODEL_SQL}, {SCORED_SQL} SELECT doc_id, unit_no, lang, round(score, 6) AS score FROM scored",
+    "lang_predict_by_join": f"""
+        WITH {MODEL_SQL}, {SCORED_SQL} SELECT doc_id, unit_no, lang, round(score, 6) AS score FROM scored""",
     "lang_filter": f"WITH {MODEL_SQL}, {SCORED_SQL} SELECT doc_id, unit_no, text FROM scored WHERE {KEPT}",
     "lang_filter_reverse": f"""
         WITH {MODEL_SQL}, {SCORED_SQL} SELECT doc_id, unit_no, text FROM scored WHERE NOT ({KEPT})""",

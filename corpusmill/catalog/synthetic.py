@@ -21,7 +21,7 @@ def samples(spark, sf_dir):
 
 def joined(df, *columns):
     """Arrays as text, which both engines print alike."""
-    return df.withColumns({c: F.array_join(F.transform(c, lambda x: x.cast("string")), " ") for c in columns})
+    return df.withColumns({c: F.array_join(F.col(c).cast("array<string>"), " ") for c in columns})
 
 
 def sum_one(spark, sf_dir, split="train"):

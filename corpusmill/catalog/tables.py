@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.plans.parallel import spread
+
 # The path of a document in SQL, the same for both engines.
 PATH_SQL = "concat('/', source, '/', lpad(cast(doc_id as varchar(20)), 9, '0'), '.txt')"
 
@@ -13,6 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Documents for work per character, in at least as many partitions as there are cores."""
+    return spread(table(spark, sf_dir, "documents").select(*columns))
+
+
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as files: (ordinal, path, text)."""
     return table(spark, sf_dir, "documents").select(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from corpusmill.catalog.tables import PATH_SQL, files, table
 from corpusmill.functions.text import collapse_non_ascii, fingerprint64, slices
 from corpusmill.operators import clean, dedup
+from corpusmill.plans.parallel import spread
 from corpusmill.operators.units import split_units
 from corpusmill.session import scratch_path
 from corpusmill.sources.paths import files_at
@@ -51,7 +52,7 @@ def clean_ascii(spark, sf_dir):
 
 def clean_nfkc(spark, sf_dir):
     """Documents with their ASCII letters and digits in full width: cleaning brings them back."""
-    wide = files(spark, sf_dir).withColumn("text", F.translate("text", UPPER_LOWER_DIGITS, WIDE))
+    wide = spread(files(spark, sf_dir)).withColumn("text", F.translate("text", UPPER_LOWER_DIGITS, WIDE))
     return clean.clean_files(wide).select("path", "text")
 
 

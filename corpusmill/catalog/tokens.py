@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusmill.catalog.feeding import SHARDS_CTE, size_shards
-from corpusmill.catalog.tables import table
+from corpusmill.catalog.tables import documents, table
 from corpusmill.catalog.synthetic import joined
 from corpusmill.catalog.texts import ASCII_SQL
 from corpusmill.functions.bytelevel import BYTE_TO_ID, FIRST_MERGE_ID, symbol
@@ -22,7 +22,7 @@ _models: dict = {}
 
 def ascii_documents(spark, sf_dir):
     """The cleaned corpus: what cleaning leaves needs no normalisation."""
-    return table(spark, sf_dir, "documents").select("doc_id", collapse_non_ascii(F.col("text")).alias("text"))
+    return documents(spark, sf_dir, "doc_id", "text").withColumn("text", collapse_non_ascii(F.col("text")))
 
 
 def words(spark, sf_dir):
@@ -38,7 +38,7 @@ def model(spark, sf_dir):
 
 
 def word_freq(spark, sf_dir):
-    return bpe_train.word_counts(table(spark, sf_dir, "documents").select("text"), normalize=False)
+    return bpe_train.word_counts(documents(spark, sf_dir, "text"), normalize=False)
 
 
 def bpe_pair_counts(spark, sf_dir):
@@ -122,7 +122,7 @@ QUERIES = {
     "encode_totals": totals,
     "saved_model_differences": saved_model_differences,
     "lexicon_coverage": lambda spark, sf_dir: bpe_encode.added_token_coverage(
-        table(spark, sf_dir, "documents"), lexicon(spark)
+        documents(spark, sf_dir, "text"), lexicon(spark)
     ),
     "added_tokens": added_tokens,
 }

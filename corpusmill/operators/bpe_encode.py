@@ -9,6 +9,7 @@ occurrences with array arithmetic.
 from __future__ import annotations
 
 import unicodedata
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,7 @@ _SPANS = StructType([StructField(n, _IDS) for n in ("target", "offset_start", "o
 # A noncharacter that valid interchange text does not contain; it frames added tokens.
 _FRAME = "\ufdd0"
 _MEMO_WORDS = 500_000
+_LONG_WORD = 2_000
 
 
 def encode(texts: DataFrame, model: Model, text: str = "text", ids: str = "target", normalize: bool = True) -> DataFrame:
@@ -108,49 +110,56 @@ def _words_around_added(text: Column, added: list[str]) -> Column:
 
 
 def _replayer(model: Model):
-    """word -> (token ids, token lengths in bytes), remembered across batches of a task."""
-    ranks = {(left, right): (rank, new) for rank, (left, right, new) in enumerate(model.merges)}
-    lengths = [len(t) for t in model.tokens]
+    """word -> token ids, remembered across the batches of a task."""
+    ranks = {(left, right): rank for rank, (left, right, _) in enumerate(model.merges)}
+    made = [new for _, _, new in model.merges]
     byte_ids = [BYTE_TO_ID[b] for b in range(256)]
-    added = {_FRAME + w: len(model.tokens) + i for i, w in enumerate(model.added)}
-    memo: dict[str, tuple[list[int], list[int]]] = {}
-
-    def replay(word: str) -> tuple[list[int], list[int]]:
-        known = memo.get(word)
-        if known is not None:
-            return known
-        if word in added:
-            ids = [added[word]]
-            result = ids, [len(word.encode())]
-        else:
-            ids = [byte_ids[b] for b in word.encode()]
-            while len(ids) > 1:
-                best = min((ranks[p] for p in zip(ids, ids[1:]) if p in ranks), default=None)
-                if best is None:
-                    break
-                left, right, new = model.merges[best[0]]
-                out, i = [], 0
-                while i < len(ids):
-                    if ids[i] == left and i + 1 < len(ids) and ids[i + 1] == right:
-                        out.append(new)
-                        i += 2
-                    else:
-                        out.append(ids[i])
-                        i += 1
-                ids = out
-            result = ids, [lengths[i] for i in ids]
+    added = {_FRAME + w: [len(model.tokens) + i] for i, w in enumerate(model.added)}
+    never = len(made)
+    rank_of = ranks.get
+    memo: dict[str, list[int]] = {}
+
+    def replay(word: str) -> list[int]:
+        ids = memo.get(word) or added.get(word)
+        if ids is not None:
+            return ids
+        ids = [byte_ids[b] for b in word.encode()]
+        if len(ids) > _LONG_WORD:
+            return _replay_long(ids, ranks, model.merges)
+        order = [rank_of(pair, never) for pair in zip(ids, ids[1:])]
+        while order and (rank := min(order)) < never:
+            i = order.index(rank)
+            ids[i : i + 2] = [made[rank]]
+            del order[i]
+            if i:
+                order[i - 1] = rank_of((ids[i - 1], ids[i]), never)
+            if i < len(order):
+                order[i] = rank_of((ids[i], ids[i + 1]), never)
         if len(memo) >= _MEMO_WORDS:
             memo.clear()
-        memo[word] = result
-        return result
+        memo[word] = ids
+        return ids
 
     return replay
 
 
+def _replay_long(ids: list[int], ranks: dict, merges: list[tuple[int, int, int]]) -> list[int]:
+    """The same for a word of many bytes: all occurrences of the next pair in one pass."""
+    while (rank := min((ranks[p] for p in zip(ids, ids[1:]) if p in ranks), default=None)) is not None:
+        left, right, new = merges[rank]
+        out, i = [], 0
+        while i < len(ids):
+            both = ids[i] == left and i + 1 < len(ids) and ids[i + 1] == right
+            out.append(new if both else ids[i])
+            i += 1 + both
+        ids = out
+    return ids
+
+
 def _spread(lists: list[list[int]], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The lists of the distinct words laid out per occurrence, and how many items each one got."""
-    sizes = np.array([len(x) for x in lists], np.int64)
-    flat = np.array([v for x in lists for v in x], np.int64)
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    flat = np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum()))
     per_occurrence = sizes[codes]
     ends = np.cumsum(per_occurrence)
     first = (np.cumsum(sizes) - sizes)[codes]
@@ -171,7 +180,7 @@ def _id_lists(model: Model):
     def ids(words: pa.Array) -> pa.Array:
         distinct = words.flatten().dictionary_encode()
         codes = distinct.indices.to_numpy()
-        items, per_word = _spread([replay(w)[0] for w in distinct.dictionary.to_pylist()], codes)
+        items, per_word = _spread([replay(w) for w in distinct.dictionary.to_pylist()], codes)
         return pa.ListArray.from_arrays(_row_offsets(words, per_word), pa.array(items, pa.int64()))
 
     return F.arrow_udf(ids, _IDS)
@@ -179,20 +188,30 @@ def _id_lists(model: Model):
 
 def _span_lists(model: Model):
     replay = _replayer(model)
+    lengths = [len(t) for t in model.tokens]
+    spaces = [len(t) - len(t.lstrip(b" ")) for t in model.tokens]
+    spans_memo: dict[str, tuple[list[int], list[int], list[int]]] = {}
 
     def spans_in_word(word: str) -> tuple[list[int], list[int], list[int]]:
         """Ids, first and last+1 character of each token; leading spaces are left out."""
-        ids, lengths = replay(word)
-        raw = word.encode()
-        ends = np.cumsum(lengths)
-        starts = ends - lengths
+        known = spans_memo.get(word)
+        if known is not None:
+            return known
+        ids, raw = replay(word), word.encode()
         # Character each byte belongs to: continuation bytes do not start one.
-        char = np.cumsum([(b & 0xC0) != 0x80 for b in raw]) - 1
-        first, last = char[starts], char[ends - 1] + 1
-        for k, (s, e) in enumerate(zip(starts, ends)):
-            token = raw[s:e]
-            first[k] += len(token) - len(token.lstrip(b" "))
-        return ids, np.minimum(first, last).tolist(), last.tolist()
+        char = range(len(raw)) if len(raw) == len(word) else list(accumulate((b & 0xC0) != 0x80 for b in raw))
+        base = char[0]
+        first, last, at = [], [], 0
+        for i in ids:
+            to = at + lengths[i]
+            end = char[to - 1] - base + 1
+            first.append(min(char[at] - base + spaces[i], end))
+            last.append(end)
+            at = to
+        if len(spans_memo) >= _MEMO_WORDS:
+            spans_memo.clear()
+        spans_memo[word] = ids, first, last
+        return ids, first, last
 
     def spans(words: pa.Array, prefixed: pa.Array, texts: pa.Array) -> pa.Array:
         distinct = words.flatten().dictionary_encode()

@@ -1,16 +1,16 @@
 """Byte-level BPE training from distributed pair counts.
 
 The distinct words and their counts stay in Spark. A round counts neighbouring symbols (partial
-aggregation per task), brings the few most frequent pairs to the driver, and merges as many of them at
-once as provably keep the order in which single merges would happen:
+aggregation per task) and brings the most frequent pairs to the driver, together with how often they occur
+next to each other. From these the driver keeps, for each pair, bounds of its count after the merges chosen
+so far in the round, and goes on choosing while one pair is certainly the most frequent:
 
-* the merged pairs are the most frequent ones without a gap and share no symbol, so merging one leaves
-  the counts of the others alone, and no other old pair ever gains;
-* a pair is merged together with those before it only if it is more frequent than every new pair those
-  merges can create. A new pair is at most as frequent as the merged pair with one neighbour, which is
-  counted before the merge.
+* merging a pair takes from an overlapping pair at most the occurrences the two share, and exactly these if
+  nothing merged before touches its symbols; other old pairs keep their counts and none gains;
+* a new pair is at most as frequent as the merged pair with one more neighbour was before the round.
 
-What the driver holds is bounded by the vocabulary size.
+So a round merges several pairs and the result is that of merging one pair at a time. What the driver holds
+is bounded by the vocabulary size.
 """
 
 from __future__ import annotations
@@ -36,7 +36,9 @@ from corpusmill.session import cut_lineage
 
 # Fixed value: pairs rarer than this are not merged.
 MIN_FREQUENCY = 2
-MOST_MERGES_PER_ROUND = 64
+# Pairs whose counts a round looks at, and how many of them it may merge.
+MOST_PAIRS_PER_ROUND = 256
+MOST_MERGES_PER_ROUND = 32
 # Replacements carried along as one expression before the words are written out again.
 MOST_PENDING_MERGES = 48
 
@@ -132,16 +134,15 @@ def train(
             pair_counts(state)
             .where(F.col("n") >= MIN_FREQUENCY)
             .orderBy(F.col("n").desc(), "pair")
-            .limit(merges_per_round)
+            .limit(MOST_PAIRS_PER_ROUND)
             .collect()
         )
         if not top:
             break
-        batch = _independent([(r.pair, r.n) for r in top], tokens, known, vocab_size - len(tokens))
-        if len(batch) > 1:
-            batch = _undisturbed(state, batch)
+        room = min(merges_per_round, vocab_size - len(tokens))
+        batch = _certain_merges(state, {r.pair: r.n for r in top}, tokens, known, room)
         column = F.col("symbols")
-        for pair, _ in batch:
+        for pair in batch:
             left, right = symbol_id(pair[0]), symbol_id(pair[1])
             token = tokens[left] + tokens[right]
             if token not in known:
@@ -155,38 +156,73 @@ def train(
     return Model(merges, tokens, added)
 
 
-def _independent(top: list[tuple[str, int]], tokens: list[bytes], known: dict, room: int) -> list:
-    """The longest beginning of ``top`` whose pairs share no symbol and make tokens that are all new.
-    The first pair may make a known token: it is then merged alone."""
-    batch, used, made = [], set(), set()
-    for pair, n in top[:room]:
-        token = tokens[symbol_id(pair[0])] + tokens[symbol_id(pair[1])]
-        if token in known or token in made:
-            return batch or [(pair, n)]
-        if used & set(pair):
+def _certain_merges(state: DataFrame, counts: dict[str, int], tokens: list[bytes], known: dict, room: int) -> list[str]:
+    """The next pairs to merge in order, as far as the bounds decide it. ``counts`` holds the most frequent
+    pairs, most frequent first; the first one is always certain. A pair that makes a known token is merged
+    alone, as the token's old occurrences count with the new ones."""
+    pairs = list(counts)
+
+    def token_of(pair: str) -> bytes:
+        return tokens[symbol_id(pair[0])] + tokens[symbol_id(pair[1])]
+
+    if room == 1 or len(pairs) == 1 or token_of(pairs[0]) in known:
+        return pairs[:1]
+    candidates = pairs[:room]
+    shared, most_new = _neighbourhoods(state, candidates, pairs)
+    # Pairs that were not looked at are no more frequent than the last one that was.
+    unseen = counts[pairs[-1]] if len(pairs) == MOST_PAIRS_PER_ROUND else MIN_FREQUENCY - 1
+    low, high = dict(counts), dict(counts)
+    chosen: list[str] = []
+    made: set[bytes] = set()
+    touched: set[str] = set()
+    while len(chosen) < room:
+        best = min(low, key=lambda p: (-low[p], p))
+        rival = min((p for p in high if p != best), key=lambda p: (-high[p], p), default=None)
+        if chosen and (
+            best not in most_new
+            or low[best] <= unseen
+            or rival is not None and (-low[best], best) > (-high[rival], rival)
+            or token_of(best) in known
+            or token_of(best) in made
+        ):
             break
-        used |= set(pair)
-        made.add(token)
-        batch.append((pair, n))
-    return batch
+        whole = best[0] != best[1] and not touched & set(best)
+        for other, sides in shared[best].items():
+            if other in low and other != best:
+                low[other] -= sum(sides)
+                if whole:
+                    high[other] = min(high[other], counts[other] - max(sides))
+        chosen.append(best)
+        made.add(token_of(best))
+        touched |= set(best)
+        unseen = max(unseen, most_new[best])
+        del low[best], high[best]
+        if not low:
+            break
+    return chosen
 
 
-def _undisturbed(state: DataFrame, batch: list[tuple[str, int]]) -> list:
-    """The beginning of the batch in which no merge can create a pair that outranks a later one."""
-    found = F.explode(contexts(F.col("symbols"), [pair for pair, _ in batch])).alias("c")
-    most = (
+def _neighbourhoods(state: DataFrame, candidates: list[str], pairs: list[str]) -> tuple[dict, dict]:
+    """For each candidate: the occurrences it shares with each of ``pairs`` on its left and right side, and
+    its most frequent occurrence with one neighbour. At most two rows per two pairs reach the driver."""
+    found = F.explode(contexts(F.col("symbols"), candidates)).alias("c")
+    overlapping = F.when(F.col("side") == 0, F.substring("context", 1, 2)).otherwise(F.substring("context", 2, 2))
+    rows = (
         state.select(found, "n")
         .groupBy("c.pair", "c.side", "c.context")
         .agg(F.sum("n").alias("n"))
+        .withColumn("other", overlapping)
         .groupBy("pair")
-        .agg(F.max("n").alias("n"))
+        .agg(
+            F.max("n").alias("most"),
+            F.collect_list(F.when(F.col("other").isin(pairs), F.struct("other", "side", "n"))).alias("shared"),
+        )
         .collect()
     )
-    most_by_pair = {r.pair: r.n for r in most}
-    highest, kept = 0, []
-    for pair, n in batch:
-        if kept and highest >= n:
-            break
-        kept.append((pair, n))
-        highest = max(highest, most_by_pair.get(pair, 0))
-    return kept
+    shared = {p: {} for p in candidates}
+    most = dict.fromkeys(candidates, 0)
+    for row in rows:
+        most[row.pair] = row.most
+        for item in row.shared:
+            shared[row.pair].setdefault(item.other, [0, 0])[item.side] += item.n
+    return shared, most

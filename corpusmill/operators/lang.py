@@ -1,22 +1,28 @@
-"""Language filter: a character-trigram classifier as joins and aggregates.
+"""Language filter: a character-trigram classifier.
 
-The model is a table: for each trigram and language the add-one smoothed log probability, in millionths
-as integers, so that sums do not depend on the order of rows. Scoring explodes a unit into trigrams, looks
-them up and adds up per unit. All trigrams of a unit arise in one task, where partial aggregation reduces
-them to one row before the shuffle.
+The model is a table built by grouping: for each trigram and language the add-one smoothed log probability,
+in millionths as integers, so that sums do not depend on any order. A model of checked size travels with the
+tasks: scoring is then a map-only step on batches of units, in batch and stream alike, and nothing as large as
+the trigrams of a corpus is ever shuffled. A larger model is joined to the counted trigrams instead; both ways
+give the same sums.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from corpusmill.functions.text import strip, trigrams_of
 
 SCALE = 1_000_000
-# A model of up to this many trigrams is broadcast (each row is some tens of bytes); a larger one is
-# joined by shuffle, after the trigrams are counted per unit.
-MOST_BROADCAST_GRAMS = 2_000_000
+# A model of up to this many weights is sent to the tasks (8 bytes per weight and per trigram); a larger one
+# is joined by shuffle.
+MOST_SENT_WEIGHTS = 8_000_000
 
 
 def train_model(labelled: DataFrame, languages: list[str], text: str = "text", lang: str = "lang") -> DataFrame:
@@ -49,50 +55,104 @@ def train_model(labelled: DataFrame, languages: list[str], text: str = "text", l
     )
 
 
+def fits_tasks(model: DataFrame, languages: list[str]) -> bool:
+    return model.count() * (len(languages) + 1) <= MOST_SENT_WEIGHTS
+
+
+def scorer(model: DataFrame, languages: list[str]) -> Callable[[Column], Column]:
+    """A column function: text to (lang, score), the most likely language and its probability. Equal
+    languages go to the first one listed; a text without a trigram gets the first one at even odds."""
+    if not fits_tasks(model, languages):
+        raise ValueError("the model is too large to send to tasks; use score_by_join")
+    rows = model.collect()
+    known = sorted((_gram_key(r.gram), r.weights) for r in rows if r.gram)
+    unseen = next(r.weights for r in rows if not r.gram)
+    keys = np.array([k for k, _ in known], np.int64)
+    # The last row is for trigrams that are not in the model, the one before for places without one.
+    weights = np.array([w for _, w in known] + [[0] * len(languages), unseen], np.int64)
+    sent = model.sparkSession.sparkContext.broadcast((keys, weights))
+
+    def score_batch(texts: pa.Array) -> pa.Array:
+        sums = _weight_sums([(t or "").strip() for t in texts.to_pylist()], *sent.value)
+        best = sums.argmax(axis=1)
+        odds = np.exp((sums - sums.max(axis=1, keepdims=True)) / SCALE).sum(axis=1)
+        names = pa.array(languages).take(pa.array(best))
+        return pa.StructArray.from_arrays([names, pa.array(1 / odds)], names=["lang", "score"])
+
+    return F.arrow_udf(
+        score_batch, StructType([StructField("lang", StringType()), StructField("score", DoubleType())])
+    )
+
+
+def _gram_key(gram: str) -> int:
+    a, b, c = map(ord, gram)
+    return a << 42 | b << 21 | c
+
+
+def _weight_sums(texts: list[str], keys: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """One row of summed weights per text."""
+    codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.int64)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    ends = np.cumsum(sizes)
+    grams = codes[:-2] << 42 | codes[1:-1] << 21 | codes[2:]
+    at = np.minimum(np.searchsorted(keys, grams), len(keys) - 1)
+    row = np.where(keys[at] == grams, at, len(weights) - 1)
+    # Places whose next two characters reach into the following text.
+    over = (ends[:, None] - np.array([1, 2])).ravel()
+    row[over[(over >= 0) & (over < len(row))]] = len(weights) - 2
+    running = np.concatenate([np.zeros((1, weights.shape[1]), np.int64), np.cumsum(weights[row], axis=0)])
+    return running[np.minimum(ends, len(row))] - running[np.minimum(ends - sizes, len(row))]
+
+
 def score(
-    units: DataFrame, model: DataFrame, languages: list[str], keys: list[str], text: str = "text",
-    broadcast_model: bool | None = None,
+    units: DataFrame, model: DataFrame, languages: list[str], keys: list[str], text: str = "text"
 ) -> DataFrame:
-    """(keys, lang, score): the most likely language of every unit and its probability. Equal languages go
-    to the first one listed. A unit without a trigram gets the first language at even odds.
+    """(keys, lang, score) of every unit."""
+    if not fits_tasks(model, languages):
+        return score_by_join(units, model, languages, keys, text)
+    scored = units.select(*keys, scorer(model, languages)(F.col(text)).alias("_s"))
+    return scored.select(*keys, "_s.lang", "_s.score")
+
 
-    ``broadcast_model`` None counts the model first and decides by its size.
-    """
-    if broadcast_model is None:
-        broadcast_model = model.count() <= MOST_BROADCAST_GRAMS
+def score_by_join(
+    units: DataFrame, model: DataFrame, languages: list[str], keys: list[str], text: str = "text"
+) -> DataFrame:
+    """``score`` for a model of any size: the trigrams are counted per unit in the task they arise in, then
+    looked up in a join, then added up per unit. ``keys`` must be unique together."""
     k = range(len(languages))
-    grams = units.select(*keys, F.explode_outer(trigrams_of(strip(F.col(text)))).alias("gram"))
-    if broadcast_model:
-        known, times = F.broadcast(model), F.lit(1)
-    else:
-        grams = grams.groupBy(*keys, "gram").agg(F.count(F.lit(1)).alias("times"))
-        known, times = model, F.col("times")
+    counted = (
+        units.select(*keys, F.explode_outer(trigrams_of(strip(F.col(text)))).alias("gram"))
+        .groupBy(*keys, "gram")
+        .agg(F.count(F.lit(1)).alias("times"))
+    )
     unseen = model.where("gram = ''").select("weights").scalar()
     weights = F.coalesce("weights", unseen)
-    summed = (
-        grams.join(known, "gram", "left")
-        .groupBy(*keys)
-        .agg(*[
-            F.sum(F.when(F.col("gram").isNull(), F.lit(0)).otherwise(weights[i] * times)).alias(f"s{i}")
-            for i in k
-        ])
-    )
-    best = F.greatest(*[F.col(f"s{i}") for i in k]) if len(languages) > 1 else F.col("s0")
+    added = [
+        F.sum(F.when(F.col("gram").isNull(), F.lit(0)).otherwise(weights[i] * F.col("times"))).alias(f"s{i}")
+        for i in k
+    ]
+    summed = counted.join(model.where("gram <> ''"), "gram", "left").groupBy(*keys).agg(*added)
+    best = F.array_max(F.array(*[F.col(f"s{i}") for i in k]))
     odds = sum((F.exp((F.col(f"s{i}") - F.col("_best")) / SCALE) for i in k), F.lit(0.0))
     label = F.coalesce(*[F.when(F.col(f"s{i}") == F.col("_best"), F.lit(languages[i])) for i in k])
     return summed.withColumn("_best", best).select(*keys, label.alias("lang"), (1 / odds).alias("score"))
 
 
-def passes(langs: list[str], threshold: float = 0.9, reverse: bool = False) -> Column:
+def passes(lang: Column, score: Column, langs: list[str], threshold: float = 0.9, reverse: bool = False) -> Column:
     """Whether a scored unit is kept: wanted language and a score above the threshold, or not that."""
-    kept = F.col("lang").isin(langs) & (F.col("score") > threshold)
+    kept = lang.isin(langs) & (score > threshold)
     return ~kept if reverse else kept
 
 
 def filter_units(
-    units: DataFrame, model: DataFrame, languages: list[str], keys: list[str], langs: list[str],
-    threshold: float = 0.9, reverse: bool = False, text: str = "text",
+    units: DataFrame, model: DataFrame, languages: list[str], langs: list[str], threshold: float = 0.9,
+    reverse: bool = False, text: str = "text", keys: list[str] | None = None,
 ) -> DataFrame:
-    """The units the filter keeps, unchanged."""
-    kept = score(units, model, languages, keys, text).where(passes(langs, threshold, reverse))
-    return units.join(kept.select(*keys), keys, "left_semi")
+    """The units the filter keeps, unchanged; batch or stream. One pass over the units, no shuffle; only a
+    model too large for the tasks needs ``keys`` and a second pass."""
+    if keys and not fits_tasks(model, languages):
+        kept = score_by_join(units, model, languages, keys, text)
+        kept = kept.where(passes(F.col("lang"), F.col("score"), langs, threshold, reverse))
+        return units.join(kept.select(*keys), keys, "left_semi")
+    scored = units.withColumn("_s", scorer(model, languages)(F.col(text)))
+    return scored.where(passes(F.col("_s.lang"), F.col("_s.score"), langs, threshold, reverse)).drop("_s")

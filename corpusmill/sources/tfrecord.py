@@ -279,19 +279,6 @@ def frame_records(payloads: list[bytes]) -> bytes:
     return b"".join(parts)
 
 
-def _varint(n: int) -> bytes:
-    out = bytearray()
-    while n > 0x7F:
-        out.append(n & 0x7F | 0x80)
-        n >>= 7
-    out.append(n)
-    return bytes(out)
-
-
-def _field(tag: bytes, payload: bytes) -> bytes:
-    return tag + _varint(len(payload)) + payload
-
-
 def _varints(values: np.ndarray) -> tuple[bytes, np.ndarray]:
     """All values as varints in one string, and the number of bytes of each."""
     rest = values.astype(np.int64).view(np.uint64)
@@ -309,19 +296,29 @@ def _varints(values: np.ndarray) -> tuple[bytes, np.ndarray]:
     return columns[used].tobytes(), sizes
 
 
+def _with_lengths(parts: list[bytes], tag: bytes) -> list[bytes]:
+    """Each part as a length-delimited field."""
+    data, sizes = _varints(np.fromiter(map(len, parts), np.int64, len(parts)))
+    ends = np.cumsum(sizes).tolist()
+    return [tag + data[a:b] + part for a, b, part in zip([0, *ends], ends, parts)]
+
+
 def encode_examples(batch: pa.RecordBatch) -> list[bytes]:
     """One Example message per row."""
     features: list[list[bytes]] = []
     for name, column in zip(batch.schema.names, batch.columns):
-        head = _field(FIRST_FIELD, name.encode())
         if pa.types.is_integer(column.type) or pa.types.is_list(column.type):
-            packed = _packed_lists(column)
-            values = [_field(THIRD_FIELD, _field(FIRST_FIELD, p) if p else b"") for p in packed]
+            lists = _with_lengths(_packed_lists(column), FIRST_FIELD)
+            # An empty list is a message without a field.
+            values = _with_lengths([b"" if x == FIRST_FIELD + b"\0" else x for x in lists], THIRD_FIELD)
         else:
             raw = column.cast(pa.binary()).to_pylist()
-            values = [_field(FIRST_FIELD, _field(FIRST_FIELD, b) if b is not None else b"") for b in raw]
-        features.append([_field(FIRST_FIELD, head + _field(SECOND_FIELD, v)) for v in values])
-    return [_field(FIRST_FIELD, b"".join(row)) for row in zip(*features)]
+            fields = _with_lengths([b or b"" for b in raw], FIRST_FIELD)
+            values = _with_lengths([b"" if b is None else f for b, f in zip(raw, fields)], FIRST_FIELD)
+        key = _with_lengths([name.encode()], FIRST_FIELD)[0]
+        entries = [key + v for v in _with_lengths(values, SECOND_FIELD)]
+        features.append(_with_lengths(entries, FIRST_FIELD))
+    return _with_lengths([b"".join(row) for row in zip(*features)], FIRST_FIELD)
 
 
 def _packed_lists(column: pa.Array) -> list[bytes]:
@@ -331,34 +328,29 @@ def _packed_lists(column: pa.Array) -> list[bytes]:
         offsets = column.offsets.to_numpy()
         offsets, values = offsets - offsets[0], column.flatten().to_numpy(zero_copy_only=False)
     data, sizes = _varints(values)
-    ends = np.concatenate([[0], np.cumsum(sizes)])[offsets]
-    return [data[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
-
-
-def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
-    """(tag, payload) of the length-delimited and varint fields of a message."""
-    at = 0
-    while at < len(data):
-        tag, at = data[at], at + 1
-        value, at = _read_varint(data, at)
+    ends = np.concatenate([[0], np.cumsum(sizes)])[offsets].tolist()
+    return [data[a:b] for a, b in zip(ends, ends[1:])]
+
+
+def _fields(data: bytes, at: int, stop: int) -> list[tuple[int, int, int]]:
+    """(tag, start, end) of the fields of a message; a varint field spans its own bytes."""
+    out = []
+    while at < stop:
+        tag, begin = data[at], at + 1
+        at, size, shift = begin, 0, 0
+        while True:
+            byte = data[at]
+            at += 1
+            size |= (byte & 0x7F) << shift
+            if byte < 0x80:
+                break
+            shift += 7
         if tag & 7 == 2:
-            yield tag, data[at : at + value]
-            at += value
-        elif tag & 7 == 0:
-            yield tag, value
-        else:
+            begin, at = at, at + size
+        elif tag & 7 != 0:
             raise ValueError("unexpected field in record")
-
-
-def _read_varint(data: bytes, at: int) -> tuple[int, int]:
-    value = shift = 0
-    while True:
-        byte = data[at]
-        at += 1
-        value |= (byte & 0x7F) << shift
-        if byte < 0x80:
-            return value, at
-        shift += 7
+        out.append((tag, begin, at))
+    return out
 
 
 def _unpack_varints(data: bytes) -> np.ndarray:
@@ -373,51 +365,42 @@ def _unpack_varints(data: bytes) -> np.ndarray:
     return values.view(np.int64)
 
 
-def _feature_value(feature: bytes) -> list | np.ndarray:
-    for tag, body in _fields(feature):
-        if tag == FIRST_FIELD[0]:
-            return [b for _, b in _fields(body)]
-        if tag == THIRD_FIELD[0]:
-            parts = [
-                _unpack_varints(v) if t == FIRST_FIELD[0] else np.array([v], np.uint64).view(np.int64)
-                for t, v in _fields(body)
-            ]
-            return np.concatenate(parts) if parts else np.zeros(0, np.int64)
-    return []
-
-
 def decode_examples(payloads: list[bytes], schema: StructType) -> pa.RecordBatch:
-    """Rows of the wanted features; the others are skipped unread."""
-    wanted = {f.name: [] for f in schema.fields}
-    for payload in payloads:
-        row = dict.fromkeys(wanted, ())
-        for _, features in _fields(payload):
-            for _, entry in _fields(features):
-                key, value = b"", b""
-                for tag, body in _fields(entry):
+    """Rows of the wanted features; the others are skipped unread. Integer lists are collected as raw
+    bytes and unpacked once per column."""
+    columns = {f.name.encode(): [[] for _ in payloads] for f in schema.fields}
+    for row, data in enumerate(payloads):
+        for _, a, b in _fields(data, 0, len(data)):
+            for _, c, d in _fields(data, a, b):
+                key, value = b"", None
+                for tag, e, f in _fields(data, c, d):
                     if tag == FIRST_FIELD[0]:
-                        key = body
+                        key = data[e:f]
                     else:
-                        value = body
-                name = key.decode()
-                if name in wanted:
-                    row[name] = _feature_value(value)
-        for name, value in row.items():
-            wanted[name].append(value)
-    arrays = [_to_arrow(wanted[f.name], f.dataType, f.name) for f in schema.fields]
+                        value = e, f
+                if key in columns and value:
+                    for _, e, f in _fields(data, *value):
+                        columns[key][row] += [data[g:h] for _, g, h in _fields(data, e, f)]
+    arrays = [_to_arrow(columns[f.name.encode()], f.dataType, f.name) for f in schema.fields]
     return pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
 
-def _to_arrow(values: list, dtype, name: str) -> pa.Array:
-    if dtype == ArrayType(LongType()) or isinstance(dtype, ArrayType) and dtype.elementType == LongType():
-        offsets = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
-        flat = np.concatenate([np.asarray(v, np.int64) for v in values])
-        return pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int64()))
-    if any(len(v) > 1 for v in values):
+def _to_arrow(rows: list[list[bytes]], dtype, name: str) -> pa.Array:
+    if dtype == LongType() or isinstance(dtype, ArrayType) and dtype.elementType == LongType():
+        parts = [b"".join(r) for r in rows]
+        data = b"".join(parts)
+        values = pa.array(_unpack_varints(data), pa.int64())
+        counted = np.concatenate([[0], np.cumsum(np.frombuffer(data, np.uint8) < 0x80)])
+        byte_ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+        offsets = counted[np.concatenate([[0], byte_ends])].astype(np.int32)
+        if isinstance(dtype, ArrayType):
+            return pa.ListArray.from_arrays(offsets, values)
+        if (np.diff(offsets) != 1).any():
+            raise ValueError(f"column {name} holds one value per record, the file has another number")
+        return values
+    if any(len(r) > 1 for r in rows):
         raise ValueError(f"column {name} holds one value per record, the file has more")
-    single = [v[0] if len(v) else None for v in values]
-    if dtype == LongType():
-        return pa.array([None if v is None else int(v) for v in single], pa.int64())
+    single = [r[0] if r else None for r in rows]
     if dtype == StringType():
         return pa.array([None if v is None else v.decode() for v in single], pa.string())
     if dtype == BinaryType():

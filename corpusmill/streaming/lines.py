@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from corpusmill.operators.lang import filter_units
@@ -11,34 +10,27 @@ from corpusmill.operators.lang import filter_units
 
 def line_stream(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
     """(text): the lines of text files as they arrive in a folder."""
-    reader = spark.readStream
+    reader = spark.readStream.option("lineSep", "\n")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.option("lineSep", "\n").text(folder).withColumnRenamed("value", "text")
+    return reader.text(folder).withColumnRenamed("value", "text")
 
 
 def filter_stream(
     lines: DataFrame, model: DataFrame, languages: list[str], langs: list[str], output: str, checkpoint: str,
-    threshold: float = 0.9, reverse: bool = False,
+    threshold: float = 0.9, reverse: bool = False, available_now: bool = True,
 ) -> StreamingQuery:
-    """Writes the kept lines of each micro-batch to a Parquet folder per batch below ``output``. A batch
-    that is run again after a failure overwrites its own folder, so no line is lost or doubled."""
-
-    def one_batch(batch: DataFrame, batch_id: int) -> None:
-        # The number of a line must be the same each time it is computed: batches are written first.
-        raw = f"{output}/lines/batch={batch_id}"
-        batch.withColumn("line_no", F.monotonically_increasing_id()).write.mode("overwrite").parquet(raw)
-        numbered = batch.sparkSession.read.parquet(raw)
-        kept = filter_units(numbered, model, languages, ["line_no"], langs, threshold, reverse)
-        kept.select("text").write.mode("overwrite").parquet(f"{output}/kept/batch={batch_id}")
-
-    return (
-        lines.writeStream.foreachBatch(one_batch)
+    """The batch filter on a stream, into text files. The file sink and the checkpoint make a restart
+    neither lose nor double a line. ``available_now`` stops when the present input is done."""
+    writer = (
+        filter_units(lines, model, languages, langs, threshold, reverse)
+        .writeStream.format("text")
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+        .option("lineSep", "\n")
     )
+    return (writer.trigger(availableNow=True) if available_now else writer).start(output)
 
 
 def kept_lines(spark: SparkSession, output: str) -> DataFrame:
-    return spark.read.schema("text string, batch long").parquet(f"{output}/kept").select("text")
+    """The lines written so far."""
+    return spark.read.option("lineSep", "\n").text(output).withColumnRenamed("value", "text")
