@@ -71,11 +71,11 @@ def crc32c(messages: list[bytes]) -> np.ndarray:
 def _equal_width(messages: list[bytes], width: int) -> np.ndarray:
     """Zero bytes in front do not change a checksum that starts from 0, so the messages are right-aligned
     in a matrix; starting from all ones means inverting the first four bytes."""
-    matrix = np.zeros((len(messages), width), np.uint8)
-    for row, message in zip(matrix, messages):
-        at = width - len(message)
-        row[at:] = np.frombuffer(message, np.uint8)
-        row[at : at + 4] ^= 0xFF
+    padded = b"".join([m.rjust(width, b"\0") for m in messages])
+    matrix = np.frombuffer(padded, np.uint8).reshape(len(messages), width).copy()
+    first = width - np.fromiter(map(len, messages), np.int64, len(messages))
+    for k in range(4):
+        matrix[np.arange(len(messages)), first + k] ^= 0xFF
     words = matrix.reshape(len(messages), -1, 8)
     crc = _TABLES[7][words[:, :, 0]]
     for k in range(1, 8):

@@ -17,6 +17,8 @@ def build_session(cpus: int | str = "*", app: str = "corpusmill", **conf: str) -
         .appName(app)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
+        # Small local shuffles keep a task per core.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "12g")
