@@ -10,6 +10,7 @@ only when the whole job commits, so a lost executor leaves nothing behind.
 
 from __future__ import annotations
 
+import fnmatch
 import gzip
 import struct
 import uuid
@@ -31,6 +32,7 @@ from pyspark.sql.datasource import (
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructType
 
 from corpusmill.functions.crc32c import masked_crc32c
+from corpusmill.sources.filesystem import filesystem_of
 
 # File suffixes by compression; field tags of the Example message.
 GZIP_SUFFIXES = (".gz", ".gzip")
@@ -70,11 +72,9 @@ def list_files(location: str) -> list[str]:
     """Data files of comma-separated files, folders or globs; an error when there are none."""
     found: list[str] = []
     for part in location.split(","):
-        filesystem, path = _filesystem(part.strip())
+        filesystem, path = filesystem_of(part.strip())
         folder, _, pattern = path.rpartition("/")
         if "*" in path or "?" in path:
-            import fnmatch
-
             infos = filesystem.get_file_info(fs.FileSelector(folder, allow_not_found=True))
             infos = [i for i in infos if fnmatch.fnmatch(i.base_name, pattern)]
         else:
@@ -92,12 +92,6 @@ def list_files(location: str) -> list[str]:
     return found
 
 
-def _filesystem(path: str) -> tuple[fs.FileSystem, str]:
-    if path.startswith("file:/") and not path.startswith("file://"):
-        path = path.removeprefix("file:")
-    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
-
-
 @dataclass
 class _File(InputPartition):
     path: str
@@ -111,7 +105,7 @@ class _Reader(DataSourceReader):
         return [_File(path) for path in list_files(self.location)]
 
     def read(self, partition: _File) -> Iterator[pa.RecordBatch]:
-        filesystem, path = _filesystem(partition.path)
+        filesystem, path = filesystem_of(partition.path)
         with filesystem.open_input_stream(path, compression=None, buffer_size=_READ_BYTES) as raw:
             for records in _batched(_records(_decompressed(raw, path))):
                 yield decode_examples(records, self.schema)
@@ -188,7 +182,7 @@ class _Writer(DataSourceArrowWriter):
         if self.shard and not self.total:
             raise ValueError("the option total is required with shard")
         if not overwrite:
-            filesystem, path = _filesystem(self.location)
+            filesystem, path = filesystem_of(self.location)
             if filesystem.get_file_info(path).type != fs.FileType.NotFound and filesystem.get_file_info(
                 fs.FileSelector(path)
             ):
@@ -197,7 +191,7 @@ class _Writer(DataSourceArrowWriter):
     def write(self, batches: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         from pyspark import TaskContext
 
-        filesystem, folder = _filesystem(self.location)
+        filesystem, folder = filesystem_of(self.location)
         staging = f"{folder}/_staging-{self.job}"
         filesystem.create_dir(staging)
         suffix, task = RECORD_SUFFIXES[self.compression], TaskContext.get().partitionId()
@@ -231,7 +225,7 @@ class _Writer(DataSourceArrowWriter):
         return [(int(shards[a]), payload.slice(a, b - a)) for a, b in zip(bounds, bounds[1:]) if b > a]
 
     def commit(self, messages: list) -> None:
-        filesystem, folder = _filesystem(self.location)
+        filesystem, folder = filesystem_of(self.location)
         filesystem.create_dir(folder)
         if self.overwrite:
             for info in filesystem.get_file_info(fs.FileSelector(folder)):
@@ -243,7 +237,7 @@ class _Writer(DataSourceArrowWriter):
         self._clear(filesystem, folder)
 
     def abort(self, messages: list) -> None:
-        self._clear(*_filesystem(self.location))
+        self._clear(*filesystem_of(self.location))
 
     def _clear(self, filesystem: fs.FileSystem, folder: str) -> None:
         staging = f"{folder}/_staging-{self.job}"
