@@ -9,8 +9,8 @@ from corpusmill.catalog.synthetic import LENGTH, SEED, TRAIN_SQL, VOCAB, joined,
 from corpusmill.catalog.tables import table
 from corpusmill.catalog.tokens import EXAMPLES_SQL, examples
 from corpusmill.operators import records
-from corpusmill.operators.shards import size_shards
-from corpusmill.session import scratch_path
+from corpusmill.operators.shards import size_shards, with_shard
+from corpusmill.session import cut_lineage, scratch_path
 from corpusmill.sources.sidecar import read_sidecar, write_sidecar
 
 FILE_BYTES = 300_000
@@ -21,8 +21,8 @@ def examples_through_records(compression):
 
     def query(spark, sf_dir):
         location = scratch_path(spark, "records")
-        plan = size_shards(document_sizes(spark, sf_dir), ["doc_id"], "bytes", FILE_BYTES)
-        rows = examples(spark, sf_dir).withColumnRenamed("text", "content").join(plan, "doc_id")
+        plan = cut_lineage(size_shards(document_sizes(spark, sf_dir), ["doc_id"], "bytes", FILE_BYTES))
+        rows = with_shard(examples(spark, sf_dir).withColumnRenamed("text", "content"), plan, "doc_id")
         total = plan.agg(F.max("shard") + 1).first()[0]
         records.write_examples(rows, location, total, compression=compression, order=["doc_id"])
         back = records.read_examples(spark, location)

@@ -11,7 +11,7 @@ from corpusmill.catalog.texts import ASCII_SQL
 from corpusmill.functions.bytelevel import BYTE_TO_ID, FIRST_MERGE_ID, symbol
 from corpusmill.functions.text import collapse_non_ascii
 from corpusmill.operators import bpe_encode, bpe_train
-from corpusmill.operators.shards import encode_totals
+from corpusmill.operators.shards import encode_totals, with_shard
 from corpusmill.session import cut_lineage, scratch_path
 
 MERGES = 32
@@ -82,7 +82,8 @@ def decode_ids(spark, sf_dir):
 
 def totals(spark, sf_dir):
     encoded = bpe_encode.encode(ascii_documents(spark, sf_dir), model(spark, sf_dir), normalize=False)
-    return encode_totals(encoded.select("doc_id", "target").join(size_shards(spark, sf_dir), "doc_id"))
+    plan = cut_lineage(size_shards(spark, sf_dir))
+    return encode_totals(with_shard(encoded.select("doc_id", "target"), plan, "doc_id"))
 
 
 def saved_model_differences(spark, sf_dir):

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from corpusmill.functions.text import strip, trigrams_of
+from corpusmill.plans.skew import join_on_counted_key
 
 SCALE = 1_000_000
 # A model of up to this many weights is sent to the tasks (8 bytes per weight and per trigram); a larger one
@@ -126,12 +127,15 @@ def score_by_join(
         .agg(F.count(F.lit(1)).alias("times"))
     )
     unseen = model.where("gram = ''").select("weights").scalar()
+    # A frequent trigram occurs in most units: the join spreads the units of each such trigram.
+    weighted = counted.groupBy("gram").agg(F.count(F.lit(1)).alias("n_rows")).join(model, "gram")
     weights = F.coalesce("weights", unseen)
     added = [
         F.sum(F.when(F.col("gram").isNull(), F.lit(0)).otherwise(weights[i] * F.col("times"))).alias(f"s{i}")
         for i in k
     ]
-    summed = counted.join(model.where("gram <> ''"), "gram", "left").groupBy(*keys).agg(*added)
+    looked_up = join_on_counted_key(counted, weighted, "gram", keys, "left")
+    summed = looked_up.groupBy(*keys).agg(*added)
     best = F.array_max(F.array(*[F.col(f"s{i}") for i in k]))
     odds = sum((F.exp((F.col(f"s{i}") - F.col("_best")) / SCALE) for i in k), F.lit(0.0))
     label = F.coalesce(*[F.when(F.col(f"s{i}") == F.col("_best"), F.lit(languages[i])) for i in k])

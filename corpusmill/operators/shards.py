@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from corpusmill.plans.greedy import cut_when_reached
 from corpusmill.plans.ordinal import with_running
@@ -24,6 +27,28 @@ def size_shards(
     return cut_when_reached(items, limit, order, fanout).select(*order, F.col("chunk").alias("shard"))
 
 
+# Shard bounds sent to the tasks: 8 bytes each.
+MOST_SENT_SHARDS = 5_000_000
+
+
+def with_shard(rows: DataFrame, plan: DataFrame, key: str) -> DataFrame:
+    """Adds the ``shard`` of the plan to wide rows with the same BIGINT ``key`` that ordered the plan.
+
+    A shard is a range of keys, so its first key says which rows it holds: the rows look their shard up in
+    the sorted first keys, without a shuffle. A plan of too many shards is joined."""
+    firsts = plan.groupBy("shard").agg(F.min(key).alias("first"))
+    if plan.agg(F.max("shard")).first()[0] >= MOST_SENT_SHARDS:
+        return rows.join(plan, key)
+    first_keys = np.array(sorted(r["first"] for r in firsts.collect()), np.int64)
+    sent = rows.sparkSession.sparkContext.broadcast(first_keys)
+
+    def lookup(keys: pa.Array) -> pa.Array:
+        at = np.searchsorted(sent.value, keys.to_numpy(zero_copy_only=False), side="right") - 1
+        return pa.array(at, pa.int64())
+
+    return rows.withColumn("shard", F.arrow_udf(lookup, LongType())(F.col(key)))
+
+
 def count_chunks(files: DataFrame, order: list[str], n: int) -> DataFrame:
     """(order columns, chunk): a fixed number of files per chunk; ``n`` below 1 gives singletons."""
     placed = with_running(files.select(*order), order)

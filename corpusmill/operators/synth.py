@@ -15,6 +15,7 @@ from corpusmill.functions.sequences import (
     next_token_inputs,
     next_token_labels,
 )
+from corpusmill.plans.skew import join_on_counted_key
 
 
 def sum_one(samples: DataFrame, length: int, vocab_size: int, seed: int, split: str = "train") -> DataFrame:
@@ -41,8 +42,11 @@ def sum_one(samples: DataFrame, length: int, vocab_size: int, seed: int, split:
 
 
 def new_samples_only(test: DataFrame, train: DataFrame) -> DataFrame:
-    """Test samples whose content does not occur in the training samples."""
-    return test.join(train.select("content").distinct(), "content", "left_anti")
+    """Test samples whose content does not occur in the training samples. Distinct contents are compared,
+    so a content that many samples share meets the other side once."""
+    contents = test.groupBy("content").agg(F.count(F.lit(1)).alias("n_rows"))
+    fresh = contents.join(train.select("content").distinct(), "content", "left_anti")
+    return join_on_counted_key(test, fresh, "content", "sample_id").select(*test.columns)
 
 
 def addition_problems(indices: DataFrame, ndigits: int) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from corpusmill.operators import shards
 from corpusmill.operators.feed import pack_placement, pack_rows
 from corpusmill.operators.shards import count_chunks, size_shards
 from corpusmill.plans.ordinal import with_running
@@ -51,6 +52,15 @@ def test_size_shards(spark, name, limit, fanout):
     assert got == fold_reached(sizes, limit)
 
 
+def test_with_shard(spark, monkeypatch):
+    files = spark.createDataFrame([(i * 3, i % 11) for i in range(300)], "k long, size long").repartition(5)
+    plan = shards.size_shards(files, ["k"], "size", 25)
+    for most in (shards.MOST_SENT_SHARDS, 1):
+        monkeypatch.setattr(shards, "MOST_SENT_SHARDS", most)
+        placed = shards.with_shard(files, plan, "k").select("k", "shard")
+        assert placed.count() == 300 and placed.exceptAll(plan).isEmpty()
+
+
 def test_size_shards_without_limit(spark):
     files = spark.createDataFrame([(0, 5), (1, 0), (2, 9)], "k long, size long")
     rows = size_shards(files, ["k"], "size", 0).collect()

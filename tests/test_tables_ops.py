@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import sequences
 from corpusmill.operators import dedup, evaluate, feed, shards, synth
+from corpusmill.plans import skew
 from corpusmill.plans.skew import join_on_counted_key
 
 
@@ -37,6 +38,13 @@ def test_dedup(copies):
     assert tuple(dedup.hash_totals(prints).first()) == (900, 900)
 
 
+def test_keep_first_beyond_the_broadcast(copies, monkeypatch):
+    rows, df = copies
+    want = {r.path for r in dedup.keep_first(df, "ordinal").collect()}
+    monkeypatch.setattr(skew, "MOST_BROADCAST_IDS", 1)
+    assert {r.path for r in dedup.keep_first(df, "ordinal").collect()} == want
+
+
 def test_join_on_counted_key(spark):
     left = spark.range(2000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 17).alias("k"), "id")
     counted = left.groupBy("k").agg(F.count(F.lit(1)).alias("n_rows"), F.max("id").alias("m"))
