@@ -276,17 +276,16 @@ def frame_records(payloads: list[bytes]) -> bytes:
 def _varints(values: np.ndarray) -> tuple[bytes, np.ndarray]:
     """All values as varints in one string, and the number of bytes of each."""
     rest = values.astype(np.int64).view(np.uint64)
-    columns = np.zeros((len(rest), 10), np.uint8)
+    widest = max(1, -(-int(rest.max(initial=0)).bit_length() // 7))
+    columns = np.empty((len(rest), widest), np.uint8)
     sizes = np.ones(len(rest), np.int64)
-    for k in range(10):
+    for k in range(widest):
         columns[:, k] = rest & np.uint64(0x7F)
         rest = rest >> np.uint64(7)
         more = rest > 0
         columns[more, k] |= 0x80
-        sizes[more] = k + 2
-        if not more.any():
-            break
-    used = np.arange(10) < sizes[:, None]
+        sizes += more
+    used = np.arange(widest) < sizes[:, None]
     return columns[used].tobytes(), sizes
 
 
@@ -352,10 +351,10 @@ def _unpack_varints(data: bytes) -> np.ndarray:
     ends = np.flatnonzero(raw < 0x80)
     starts = np.concatenate([[0], ends[:-1] + 1]) if len(ends) else ends
     sizes = ends - starts + 1
-    values = np.zeros(len(ends), np.uint64)
-    for k in range(int(sizes.max(initial=0))):
-        has = sizes > k
-        values[has] |= (raw[starts[has] + k] & np.uint8(0x7F)).astype(np.uint64) << np.uint64(7 * k)
+    values = (raw[starts] & np.uint8(0x7F)).astype(np.uint64)
+    for k in range(1, int(sizes.max(initial=0))):
+        longer = np.flatnonzero(sizes > k)
+        values[longer] |= (raw[starts[longer] + k] & np.uint8(0x7F)).astype(np.uint64) << np.uint64(7 * k)
     return values.view(np.int64)
 
 
