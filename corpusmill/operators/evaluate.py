@@ -23,6 +23,13 @@ def metrics(predictions: DataFrame) -> DataFrame:
     return wide.unpivot([], wide.columns, "name", "value")
 
 
+def write_metrics(named: DataFrame, location: str) -> None:
+    """One JSON object that maps each metric's name to its value."""
+    named.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("name", "value")))).alias("value")).write.mode(
+        "overwrite"
+    ).text(location)
+
+
 def length_check(examples: DataFrame, steps: int, batch_size: int) -> DataFrame:
     """Whether the data lasts for ``steps`` batches, and how many full batches there are."""
     return examples.agg(F.count(F.lit(1)).alias("n")).select(

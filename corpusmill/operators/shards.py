@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
@@ -37,7 +37,7 @@ def with_shard(rows: DataFrame, plan: DataFrame, key: str) -> DataFrame:
     A shard is a range of keys, so its first key says which rows it holds: the rows look their shard up in
     the sorted first keys, without a shuffle. A plan of too many shards is joined."""
     firsts = plan.groupBy("shard").agg(F.min(key).alias("first"))
-    if plan.agg(F.max("shard")).first()[0] >= MOST_SENT_SHARDS:
+    if (plan.agg(F.max("shard")).first()[0] or 0) >= MOST_SENT_SHARDS:
         return rows.join(plan, key)
     first_keys = np.array(sorted(r["first"] for r in firsts.collect()), np.int64)
     sent = rows.sparkSession.sparkContext.broadcast(first_keys)
@@ -77,6 +77,18 @@ def require_one_compression(paths: DataFrame) -> DataFrame:
     )
 
 
+def observed_totals(examples: DataFrame, ids: str = "target") -> tuple[DataFrame, Observation]:
+    """The examples, and an observation that holds ``tokens`` and ``examples`` once they have been written:
+    the totals of an encode run without a second pass."""
+    totals = Observation("encode totals")
+    counted = examples.observe(
+        totals,
+        F.coalesce(F.sum(F.size(ids).cast("bigint")), F.lit(0)).alias("tokens"),
+        F.count(F.lit(1)).alias("examples"),
+    )
+    return counted, totals
+
+
 def encode_totals(examples: DataFrame, ids: str = "target", shard: str = "shard") -> DataFrame:
     """Tokens, examples, record files and tokens per record file of sharded examples."""
     return examples.agg(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions.crc32c import crc32c, masked_crc32c
 from corpusmill.operators import records
+from corpusmill.operators.shards import observed_totals
 from corpusmill.session import scratch_path
 from corpusmill.sources.tfrecord import list_files, write_records
 
@@ -59,6 +60,12 @@ def test_examples_roundtrip(spark, examples, compression, suffix):
     assert sorted(os.listdir(location)) == [f"dataset_00000_00001.{suffix}"]
 
 
+def test_totals_while_writing(spark, examples):
+    counted, totals = observed_totals(examples)
+    records.write_examples(counted, scratch_path(spark, "observed"), 3, order=["n"])
+    assert totals.get == {"tokens": 4005, "examples": 4}
+
+
 def test_framing(spark):
     location = scratch_path(spark, "frames").removeprefix("file:")
     write_records(spark.createDataFrame([([1, 2, 300],)], "v array<bigint>").coalesce(1), location, compression="none")

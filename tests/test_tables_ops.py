@@ -1,6 +1,7 @@
 """Dedup, joins under skew, feed, synthetic data, evaluation against brute force."""
 
 import hashlib
+import json
 from collections import Counter
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from corpusmill.functions import sequences
 from corpusmill.operators import dedup, evaluate, feed, shards, synth
 from corpusmill.plans import skew
+from corpusmill.session import scratch_path
 from corpusmill.plans.skew import join_on_counted_key
 
 
@@ -171,6 +173,9 @@ def test_metrics_and_lengths(spark):
     assert got["mean_squared_error"] == pytest.approx((1 + 103**2) / 3)
     assert got["masked_mean_squared_error"] == pytest.approx(0.5)
     assert (got["mean_prediction"], got["masked_mean_prediction"]) == (3.0, 3.0)
+    location = scratch_path(spark, "metrics")
+    evaluate.write_metrics(evaluate.metrics(df), location)
+    assert json.loads(spark.read.text(location).first().value) == got
     assert tuple(evaluate.length_check(spark.range(17), 2, 8).first()) == (2, 2, True)
     assert tuple(evaluate.length_check(spark.range(15), 2, 8).first()) == (2, 1, False)
 
