@@ -34,7 +34,7 @@ def shuffle_seeded(spark, sf_dir):
     """Where each example stands in the shuffled order of each epoch."""
     repeated = feed.repeat(sequences(spark, sf_dir).select(*KEYS), EPOCHS)
     order = feed.shuffled(repeated, SEED, ["epoch", *KEYS])
-    return with_running(order, ["epoch", "shuffle_key"]).withColumnRenamed("ordinal", "position")
+    return with_running(order, ["epoch", "shuffle_key"]).withColumnRenamed("_ordinal", "position")
 
 
 def sample_replace(spark, sf_dir):

@@ -29,11 +29,14 @@ def pack_placement(
     Whole examples go one after the other into rows of ``length``; one that does not fit opens the
     next row. Over-long examples count with ``length``. Works on lengths only, never on the ids.
     """
-    sizes = examples.select(*order, F.least(F.size(ids), F.lit(length)).cast("bigint").alias("size"))
-    items = with_running(sizes.where("size > 0"), order, "size")
-    placed = cut_before_overflow(items, length, [*order, "start", "size"], fanout)
+    sizes = examples.select(*order, F.least(F.size(ids), F.lit(length)).cast("bigint").alias("_size"))
+    items = with_running(sizes.where("_size > 0"), order, "_size")
+    placed = cut_before_overflow(items, length, [*order, "_start", "_size"], fanout)
     return placed.select(
-        *order, F.col("chunk").alias("row_no"), (F.col("start") - F.col("chunk_start")).alias("offset"), "size"
+        *order,
+        F.col("chunk").alias("row_no"),
+        (F.col("_start") - F.col("chunk_start")).alias("offset"),
+        F.col("_size").alias("size"),
     )
 
 
@@ -69,7 +72,7 @@ def batches(
     short. Rows carry their payload to the batch in one shuffle."""
     placed = with_running(examples.select(*order), order)
     slots = placed.select(
-        *order, F.expr(f"ordinal div {size}").alias("batch"), F.expr(f"ordinal % {size}").alias("slot")
+        *order, F.expr(f"_ordinal div {size}").alias("batch"), F.expr(f"_ordinal % {size}").alias("slot")
     )
     out = (
         examples.select(*dict.fromkeys([*order, *columns]))
@@ -103,9 +106,10 @@ def take(examples: DataFrame, order: list[str], n: int) -> DataFrame:
 def sample_with_replacement(files: DataFrame, order: list[str], draws: DataFrame, seed: int) -> DataFrame:
     """One file per row of ``draws`` (column ``draw``), every file equally likely each time."""
     placed = with_running(files.select(*order), order)
-    n = placed.agg(F.count(F.lit(1))).scalar()
-    picks = draws.withColumn("ordinal", F.pmod(seeded_int(seed, F.col("draw")), n))
-    return picks.join(placed, "ordinal").drop("ordinal")
+    n = placed.count()
+    pick = F.pmod(seeded_int(seed, F.col("draw")), F.lit(n)) if n else F.lit(None).cast("bigint")
+    picks = draws.withColumn("_ordinal", pick)
+    return picks.join(placed, "_ordinal").drop("_ordinal")
 
 
 def split_test(problems: DataFrame, key: str, seed: int, share: float = 0.2, most: int = 1000) -> DataFrame:
@@ -139,13 +143,13 @@ def interleaved(rows: DataFrame, file: str, order: list[str], cycle: int = 4) ->
     the rows is numbered by many tasks.
     """
     placed = with_running(rows.select(file, *order), [file, *order])
-    files = placed.groupBy(file).agg(F.min("ordinal").alias("first"), F.count(F.lit(1)).alias("n_rows"))
-    slots = with_running(files, [file]).withColumnRenamed("ordinal", "file_slot")
-    keyed = join_on_counted_key(placed, slots, file, "ordinal")
+    files = placed.groupBy(file).agg(F.min("_ordinal").alias("first"), F.count(F.lit(1)).alias("n_rows"))
+    slots = with_running(files, [file]).withColumnRenamed("_ordinal", "file_slot")
+    keyed = join_on_counted_key(placed, slots, file, "_ordinal")
     return keyed.select(
         file,
         *order,
         F.expr(f"file_slot div {cycle}").alias("cycle_no"),
-        (F.col("ordinal") - F.col("first")).alias("row_in_file"),
+        (F.col("_ordinal") - F.col("first")).alias("row_in_file"),
         "file_slot",
     ).orderBy("cycle_no", "row_in_file", "file_slot")

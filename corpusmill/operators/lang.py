@@ -38,7 +38,7 @@ def train_model(labelled: DataFrame, languages: list[str], text: str = "text", l
     totals = counts.agg(
         F.struct(
             F.count(F.lit(1)).alias("grams"),
-            *[F.sum(f"n{i}").alias(f"n{i}") for i in range(len(languages))],
+            *[F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"n{i}") for i in range(len(languages))],
         ).alias("t")
     ).scalar()
     unseen = counts.sparkSession.range(1).select(
@@ -46,7 +46,8 @@ def train_model(labelled: DataFrame, languages: list[str], text: str = "text", l
     )
 
     def weight(i: int) -> Column:
-        share = (F.col(f"n{i}") + 1) / (F.col("_t")[f"n{i}"] + F.col("_t")["grams"])
+        # Without any training text every language is equally likely.
+        share = (F.col(f"n{i}") + 1) / F.greatest(F.col("_t")[f"n{i}"] + F.col("_t")["grams"], F.lit(1))
         return F.round(F.log(share) * SCALE).cast("bigint")
 
     return (
@@ -68,8 +69,8 @@ def scorer(model: DataFrame, languages: list[str]) -> Callable[[Column], Column]
     rows = model.collect()
     known = sorted((_gram_key(r.gram), r.weights) for r in rows if r.gram)
     unseen = next(r.weights for r in rows if not r.gram)
-    keys = np.array([k for k, _ in known], np.int64)
-    # The last row is for trigrams that are not in the model, the one before for places without one.
+    # One key past all trigrams. Its row is for places without a trigram, the last row for unknown ones.
+    keys = np.array([*(k for k, _ in known), np.iinfo(np.int64).max], np.int64)
     weights = np.array([w for _, w in known] + [[0] * len(languages), unseen], np.int64)
     sent = model.sparkSession.sparkContext.broadcast((keys, weights))
 
@@ -96,7 +97,7 @@ def _weight_sums(texts: list[str], keys: np.ndarray, weights: np.ndarray) -> np.
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     ends = np.cumsum(sizes)
     grams = codes[:-2] << 42 | codes[1:-1] << 21 | codes[2:]
-    at = np.minimum(np.searchsorted(keys, grams), len(keys) - 1)
+    at = np.searchsorted(keys, grams)
     row = np.where(keys[at] == grams, at, len(weights) - 1)
     # Places whose next two characters reach into the following text.
     over = (ends[:, None] - np.array([1, 2])).ravel()

@@ -22,8 +22,8 @@ def size_shards(
     """(order columns, shard): files in order, a shard closes once it holds ``limit`` bytes.
 
     Works on the order key and the size only; join the result to the wide rows."""
-    narrow = files.select(*order, F.col(size).cast("bigint").alias("size"))
-    items = with_running(narrow, order, "size")
+    narrow = files.select(*order, F.col(size).cast("bigint").alias("_size"))
+    items = with_running(narrow, order, "_size")
     return cut_when_reached(items, limit, order, fanout).select(*order, F.col("chunk").alias("shard"))
 
 
@@ -52,7 +52,7 @@ def with_shard(rows: DataFrame, plan: DataFrame, key: str) -> DataFrame:
 def count_chunks(files: DataFrame, order: list[str], n: int) -> DataFrame:
     """(order columns, chunk): a fixed number of files per chunk; ``n`` below 1 gives singletons."""
     placed = with_running(files.select(*order), order)
-    return placed.select(*order, F.expr(f"ordinal div {max(n, 1)}").alias("chunk"))
+    return placed.select(*order, F.expr(f"_ordinal div {max(n, 1)}").alias("chunk"))
 
 
 def shard_file_name(shard: Column, total: Column, name: str = "dataset", compress: str = "lz") -> Column:

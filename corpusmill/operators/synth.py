@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions.numbers import seeded_int
@@ -59,9 +59,9 @@ def addition_problems(indices: DataFrame, ndigits: int) -> DataFrame:
     )
 
 
-def all_problem_indices(indices_from: DataFrame) -> DataFrame:
-    """Distinct problem indices."""
-    return indices_from.select("idx").distinct()
+def every_problem(spark: SparkSession, ndigits: int) -> DataFrame:
+    """The indices of all problems of ``ndigits`` numbers."""
+    return spark.range(10 ** (2 * ndigits)).withColumnRenamed("id", "idx")
 
 
 def render(a: Column, b: Column, c: Column, ndigits: int) -> Column:

@@ -8,7 +8,7 @@ each block turns these few candidates into jumps out of the block. Jumps are com
 by block of blocks until one is left, and then the real walk is followed back down. The result equals
 the single-task fold, and no task sees more than one block.
 
-``start`` is the sum of the sizes before an item (see ``with_running``).
+``_start`` is the sum of the sizes before an item (see ``with_running``).
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ def cut_when_reached(
 ) -> DataFrame:
     """Chunks that close with the item that brings their size to ``limit`` or more."""
     if limit <= 0:
-        return items.select(*keys, F.col("ordinal").alias("chunk"), F.col("start").alias("chunk_start"))
+        return items.select(*keys, F.col("_ordinal").alias("chunk"), F.col("_start").alias("chunk_start"))
 
     def next_cut(at: np.ndarray, bounds: np.ndarray, beyond: int) -> np.ndarray:
         i = np.searchsorted(bounds, at + limit, side="left")
@@ -59,11 +59,11 @@ def _cut(
     items: DataFrame, limit: int, keys: list[str], next_cut: Callable, fanout: int | None
 ) -> DataFrame:
     """(keys, chunk, chunk_start) for every item."""
-    items = items.select(*dict.fromkeys([*keys, "start", "size"]))
-    stats = items.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total")).first()
+    items = items.select(*dict.fromkeys([*keys, "_start", "_size"]))
+    stats = items.agg(F.count(F.lit(1)).alias("n"), F.sum("_size").alias("total")).first()
     total = int(stats["total"] or 0)
     if total == 0:
-        return items.select(*keys, F.lit(0).cast("bigint").alias("chunk"), F.col("start").alias("chunk_start"))
+        return items.select(*keys, F.lit(0).cast("bigint").alias("chunk"), F.col("_start").alias("chunk_start"))
     per_limit = max(1.0, stats["n"] * limit / total)
     fanout = fanout or int(max(2, ITEMS_PER_BLOCK / per_limit))
     spans = [fanout * limit]
@@ -120,8 +120,8 @@ def _block_jumps(
 
     def jumps(table: pa.Table) -> pa.Table:
         block = table["block"][0].as_py()
-        start = table["start"].to_numpy()
-        bounds = np.unique(np.concatenate([start, start + table["size"].to_numpy()]))
+        start = table["_start"].to_numpy()
+        bounds = np.unique(np.concatenate([start, start + table["_size"].to_numpy()]))
         at = np.unique(start[start // span == block])
         if len(at) == 0:
             return _jump_table(block, at, at, at, at)
@@ -132,14 +132,14 @@ def _block_jumps(
         keep = _candidates(at, block, span, limit)
         return _jump_table(block, at[keep], to[root][keep], hops[keep], at[root][keep])
 
-    home = _block_of("start", span)
+    home = _block_of("_start", span)
     blocks = F.when(
-        (F.col("start") % span < limit) & (home > 0), F.array(home, home - 1)
+        (F.col("_start") % span < limit) & (home > 0), F.array(home, home - 1)
     ).otherwise(F.array(home))
     # Items of size 0 share the position of the next item and decide no cut.
     return (
-        items.where("size > 0")
-        .select(F.explode(blocks).alias("block"), "start", "size")
+        items.where("_size > 0")
+        .select(F.explode(blocks).alias("block"), "_start", "_size")
         .groupBy("block")
         .applyInArrow(jumps, _JUMPS)
     )
@@ -223,10 +223,10 @@ def _assign(
     def assign(table: pa.Table) -> pa.Table:
         entry = table.filter(table["entry"].is_valid())
         table = table.filter(table["entry"].is_null())
-        start = table["start"].to_numpy()
+        start = table["_start"].to_numpy()
         here, chunk, open_start = (entry[n][0].as_py() for n in ("entry", "chunk", "open_start"))
         cuts = [open_start]
-        bounds = np.unique(np.concatenate([start, start + table["size"].to_numpy()]))
+        bounds = np.unique(np.concatenate([start, start + table["_size"].to_numpy()]))
         last_start = start.max(initial=-1)
         while here <= last_start:
             cuts.append(here)
@@ -237,7 +237,7 @@ def _assign(
         columns["chunk_start"] = pa.array(np.array(cuts, np.int64)[i], pa.int64())
         return pa.table(columns)
 
-    rows = items.withColumn("block", _block_of("start", span))
+    rows = items.withColumn("block", _block_of("_start", span))
     out = StructType(
         [*items.select(*keys).schema.fields]
         + [StructField("chunk", LongType()), StructField("chunk_start", LongType())]

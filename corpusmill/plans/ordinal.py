@@ -14,7 +14,7 @@ from corpusmill.session import cut_lineage
 
 
 def with_running(df: DataFrame, keys: list[str], size: str | None = None) -> DataFrame:
-    """Adds ``ordinal`` (rows before) and, with ``size``, ``start`` (sum of sizes before).
+    """Adds ``_ordinal`` (rows before) and, with ``size``, ``_start`` (sum of sizes before).
 
     The rows are range-partitioned and sorted once and written to the shared folder, so that both
     passes below see the same partitions. Running values are local to a partition; the offsets added
@@ -53,7 +53,7 @@ def with_running(df: DataFrame, keys: list[str], size: str | None = None) -> Dat
         )
     )
     placed = ordered.mapInArrow(running, out).join(F.broadcast(offsets), "_part")
-    columns = [*df.columns, (F.col("_rows") + F.col("_rows_before")).cast("bigint").alias("ordinal")]
+    columns = [*df.columns, (F.col("_rows") + F.col("_rows_before")).cast("bigint").alias("_ordinal")]
     if size:
-        columns.append((F.col("_sum") + F.col("_sum_before")).cast("bigint").alias("start"))
+        columns.append((F.col("_sum") + F.col("_sum_before")).cast("bigint").alias("_start"))
     return placed.select(*columns)

@@ -18,12 +18,14 @@ def join_on_counted_key(
     """``left`` joined with ``counted`` (one row per key and its row count ``n_rows``).
 
     Rows of a hot key are spread over as many salts as keep each below 1/HOT_SHARE of the rows;
-    only the right rows of hot keys are repeated. ``spread`` are left columns that differ between
-    rows of one key.
+    only the right rows of hot keys are repeated; without a hot key it is a plain join. ``spread`` are left
+    columns that differ between rows of one key.
     """
     spread = [spread] if isinstance(spread, str) else spread
-    total = counted.agg(F.sum("n_rows").alias("total")).scalar()
-    salts = F.ceil(F.col("n_rows") * HOT_SHARE / total).cast("int")
+    stats = counted.agg(F.sum("n_rows").alias("total"), F.max("n_rows").alias("most")).first()
+    if not stats["total"] or stats["most"] * HOT_SHARE <= stats["total"]:
+        return left.join(counted, key, how)
+    salts = F.ceil(F.col("n_rows") * HOT_SHARE / F.lit(stats["total"])).cast("int")
     right = counted.withColumn("_n_salts", F.greatest(salts, F.lit(1)))
     hot = right.where("_n_salts > 1").select(key, "_n_salts")
     salted_left = left.join(F.broadcast(hot), key, "left").withColumn(

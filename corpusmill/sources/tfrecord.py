@@ -81,7 +81,8 @@ def list_files(location: str) -> list[str]:
             info = filesystem.get_file_info(path)
             is_folder = info.type == fs.FileType.Directory
             infos = filesystem.get_file_info(fs.FileSelector(path)) if is_folder else [info]
-        scheme = part.strip().split("://")[0] + "://" if "://" in part else ""
+        uri = part.strip()
+        scheme = uri[: len(uri) - len(path)] if "://" in uri else ""
         found += [
             scheme + i.path
             for i in sorted(infos, key=lambda i: i.path)

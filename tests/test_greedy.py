@@ -97,7 +97,7 @@ def test_running_totals(spark):
     got = sorted(with_running(df, ["k"], "size").collect(), key=lambda r: r.k)
     total = 0
     for i, r in enumerate(got):
-        assert (r.ordinal, r.start) == (i, total)
+        assert (r._ordinal, r._start) == (i, total)
         total += r["size"]
 
 

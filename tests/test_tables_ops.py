@@ -136,8 +136,7 @@ def test_sum_one(spark):
 
 def test_addition(spark):
     nd = 2
-    every = spark.range(10 ** (2 * nd)).withColumnRenamed("id", "idx")
-    rows = synth.addition_examples(synth.addition_problems(every, nd), nd)
+    rows = synth.addition_examples(synth.addition_problems(synth.every_problem(spark, nd), nd), nd)
     rows = rows.withColumn("equation", synth.humanize(F.col("render"), nd)).collect()
     assert len(rows) == 10000
     for r in rows:
