@@ -5,10 +5,12 @@ from __future__ import annotations
 from corpusmill.llm.jaccard_tree import op4_tree
 from corpusmill.llm.mix_lengths import op9_lengths
 from corpusmill.llm.pack_harmonic import op3_harmonic
+from corpusmill.llm.ppm import op1_ppm
 from corpusmill.llm.shard_slots import op8_slots
 from corpusmill.llm.warc_segments import op7_segments
 
 QUERIES = {
+    "op1_ppm": op1_ppm,
     "op3_harmonic": op3_harmonic,
     "op4_tree": op4_tree,
     "op7_segments": op7_segments,
