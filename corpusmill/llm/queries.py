@@ -6,6 +6,7 @@ from corpusmill.llm.jaccard_tree import op4_tree
 from corpusmill.llm.lines_simhash import op2_simhash
 from corpusmill.llm.mix_lengths import op9_lengths
 from corpusmill.llm.pack_harmonic import op3_harmonic
+from corpusmill.llm.passages_chain import op10_chains
 from corpusmill.llm.ppm import op1_ppm
 from corpusmill.llm.rp_forest import op6_forest
 from corpusmill.llm.rules_divergence import op5_divergence
@@ -22,6 +23,7 @@ QUERIES = {
     "op7_segments": op7_segments,
     "op8_slots": op8_slots,
     "op9_lengths": op9_lengths,
+    "op10_chains": op10_chains,
 }
 
 ORACLES: dict[str, str] = {}
