@@ -175,7 +175,7 @@ def brute_groups(docs):
     for i in range(len(norms)):
         for j in range(i):
             d = sims[i] ^ sims[j]
-            if d.bit_count() <= 10 and any(d >> at & ((1 << n) - 1) == 0 for at, n in lines_simhash.BLOCKS):
+            if d.bit_count() <= lines_simhash.MOST_BITS and any(d >> at & ((1 << n) - 1) == 0 for at, n in lines_simhash.BLOCKS):
                 longer = max(len(norms[i]), len(norms[j]))
                 if min(len(norms[i]), len(norms[j])) >= 0.8 * longer and edit_distance(norms[i], norms[j]) <= math.floor(longer * (1 - 0.8)):
                     parent[root(i)] = root(j)
