@@ -137,12 +137,12 @@ def test_forest_recall(spark, monkeypatch):
 
 def simhash(norm):
     votes, words = [0] * 63, norm.split(" ")
-    for w in words:
-        h = xxhash.xxh64_intdigest(w.encode(), seed=42)
+    for v, w in zip(words, words[1:]):
+        h = xxhash.xxh64_intdigest(w.encode(), seed=xxhash.xxh64_intdigest(v.encode(), seed=42))
         for b in range(63):
             j, i = b % 21, b // 21
             votes[b] += h >> j + 21 * i & 1
-    return sum(1 << b for b in range(63) if 2 * votes[b] > len(words))
+    return sum(1 << b for b in range(63) if 2 * votes[b] > len(words) - 1)
 
 
 def edit_distance(a, b):
