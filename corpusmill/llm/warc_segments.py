@@ -208,7 +208,9 @@ def read_records(archives: DataFrame, folder: str) -> DataFrame:
                 if found:
                     yield out(found)
 
-    return archives.select("path").repartition("path").mapInArrow(read, RECORDS)
+    # A stated number, as rows this small would otherwise be merged into one task.
+    n_tasks = max(1, archives.count())
+    return archives.select("path").repartition(n_tasks, "path").mapInArrow(read, RECORDS)
 
 
 def restored(parts: list[dict]) -> tuple:
