@@ -186,7 +186,7 @@ ORACLES = {
     "sample_replace": f"""
         WITH p AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS o FROM documents),
         d AS (SELECT doc_id AS draw,
-                     CAST(concat('0x', substr(md5(concat_ws('-', {SEED}, doc_id)), 1, 8)) AS BIGINT)
+                     CAST(concat('0x', substr(md5(concat_ws('-', {SEED}, doc_id)), 1, 15)) AS BIGINT)
                      % (SELECT count(*) FROM documents) AS o
               FROM labels)
         SELECT draw, doc_id FROM d JOIN p USING (o)""",

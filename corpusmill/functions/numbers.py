@@ -30,5 +30,10 @@ def seeded_int(seed: int, *parts: Column | str) -> Column:
     return F.conv(F.substring(seeded_key(seed, *parts), 1, 8), 16, 10).cast("bigint")
 
 
+def seeded_draw(seed: int, *parts: Column | str) -> Column:
+    """Reproducible random integer in [0, 2**60), for draws from more than a few rows: 15 hex digits of the seeded key."""
+    return F.conv(F.substring(seeded_key(seed, *parts), 1, 15), 16, 10).cast("bigint")
+
+
 def _text(part: Column | str) -> Column:
     return F.lit(part) if isinstance(part, str) else part.cast("string")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.functions.numbers import seeded_int, seeded_key
+from corpusmill.functions.numbers import seeded_draw, seeded_key
 from corpusmill.functions.sequences import PAD, append_eos, trim_and_pad
 from corpusmill.plans.greedy import cut_before_overflow
 from corpusmill.plans.ordinal import with_running
@@ -27,9 +27,9 @@ def pack_placement(
     """(order columns, row_no, offset, size): which packed row each example goes to, and where.
 
     Whole examples go one after the other into rows of ``length``; one that does not fit opens the
-    next row. Over-long examples count with ``length``. Works on lengths only, never on the ids.
+    next row. Over-long examples count with ``length``, null ones are empty and placed nowhere. Works on lengths only, never on the ids.
     """
-    sizes = examples.select(*order, F.least(F.size(ids), F.lit(length)).cast("bigint").alias("_size"))
+    sizes = examples.select(*order, F.least(F.coalesce(F.size(ids), F.lit(0)), F.lit(length)).cast("bigint").alias("_size"))
     items = with_running(sizes.where("_size > 0"), order, "_size")
     placed = cut_before_overflow(items, length, [*order, "_start", "_size"], fanout)
     return placed.select(
@@ -107,7 +107,7 @@ def sample_with_replacement(files: DataFrame, order: list[str], draws: DataFrame
     """One file per row of ``draws`` (column ``draw``), every file equally likely each time."""
     placed = with_running(files.select(*order), order)
     n = placed.count()
-    pick = F.pmod(seeded_int(seed, F.col("draw")), F.lit(n)) if n else F.lit(None).cast("bigint")
+    pick = F.pmod(seeded_draw(seed, F.col("draw")), F.lit(n)) if n else F.lit(None).cast("bigint")
     picks = draws.withColumn("_ordinal", pick)
     return picks.join(placed, "_ordinal").drop("_ordinal")
 

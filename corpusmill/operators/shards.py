@@ -21,32 +21,42 @@ def size_shards(
 ) -> DataFrame:
     """(order columns, shard): files in order, a shard closes once it holds ``limit`` bytes.
 
-    Works on the order key and the size only; join the result to the wide rows."""
-    narrow = files.select(*order, F.col(size).cast("bigint").alias("_size"))
+    A null size counts as 0. Works on the order key and the size only; join the result to the wide rows."""
+    narrow = files.select(*order, F.coalesce(F.col(size).cast("bigint"), F.lit(0).cast("bigint")).alias("_size"))
     items = with_running(narrow, order, "_size")
     return cut_when_reached(items, limit, order, fanout).select(*order, F.col("chunk").alias("shard"))
 
 
-# Shard bounds sent to the tasks: 8 bytes each.
+# Shard bounds sent to the tasks: 24 bytes each.
 MOST_SENT_SHARDS = 5_000_000
 
 
 def with_shard(rows: DataFrame, plan: DataFrame, key: str) -> DataFrame:
     """Adds the ``shard`` of the plan to wide rows with the same BIGINT ``key`` that ordered the plan.
 
-    A shard is a range of keys, so its first key says which rows it holds: the rows look their shard up in
-    the sorted first keys, without a shuffle. A plan of too many shards is joined."""
-    firsts = plan.groupBy("shard").agg(F.min(key).alias("first"))
+    A shard is a range of keys, so its first and last key say which rows it holds: the rows look their shard up
+    in the sorted bounds, without a shuffle. A plan of too many shards is joined. Rows with a null key or a key
+    outside every shard are dropped. The plan is expected to know every other key: the lookup would
+    put an unknown key between two known ones of a shard into it, the join would drop it."""
+    bounds = plan.where(F.col(key).isNotNull()).groupBy("shard").agg(F.min(key).alias("first"), F.max(key).alias("last"))
     if (plan.agg(F.max("shard")).first()[0] or 0) >= MOST_SENT_SHARDS:
         return rows.join(plan, key)
-    first_keys = np.array(sorted(r["first"] for r in firsts.collect()), np.int64)
-    sent = rows.sparkSession.sparkContext.broadcast(first_keys)
+    table = bounds.orderBy("first").toArrow()
+    sent = rows.sparkSession.sparkContext.broadcast(
+        tuple(table[c].to_numpy().astype(np.int64) for c in ("first", "last", "shard"))
+    )
 
     def lookup(keys: pa.Array) -> pa.Array:
-        at = np.searchsorted(sent.value, keys.to_numpy(zero_copy_only=False), side="right") - 1
-        return pa.array(at, pa.int64())
-
-    return rows.withColumn("shard", F.arrow_udf(lookup, LongType())(F.col(key)))
+        first, last, shard = sent.value
+        if len(first) == 0:
+            return pa.nulls(len(keys), pa.int64())
+        known = keys.is_valid().to_numpy(zero_copy_only=False)
+        values = keys.fill_null(0).to_numpy(zero_copy_only=False)
+        at = np.searchsorted(first, values, side="right") - 1
+        inside = known & (at >= 0) & (values <= last[at])
+        return pa.array(shard[at], pa.int64(), mask=~inside)
+
+    return rows.withColumn("shard", F.arrow_udf(lookup, LongType())(F.col(key))).where("shard IS NOT NULL")
 
 
 def count_chunks(files: DataFrame, order: list[str], n: int) -> DataFrame:

@@ -106,3 +106,16 @@ def test_count_chunks(spark):
     for n in (0, 3):
         got = {r.k: r.chunk for r in count_chunks(df, ["k"], n).collect()}
         assert got == {i: i // max(n, 1) for i in range(10)}
+
+
+def test_rows_outside_the_plan_get_no_shard(spark, monkeypatch):
+    plan = spark.createDataFrame([(k, (k - 3) // 2) for k in range(3, 7)], "k long, shard long")
+    rows = spark.createDataFrame([(k,) for k in [*range(10), None]], "k long")
+    for most in (1, 5_000_000):
+        monkeypatch.setattr(shards, "MOST_SENT_SHARDS", most)
+        assert sorted(map(tuple, shards.with_shard(rows, plan, "k").select("k", "shard").collect())) == [(3, 0), (4, 0), (5, 1), (6, 1)]
+
+
+def test_null_sizes_count_as_nothing(spark):
+    files = spark.createDataFrame([(0, 5), (1, None), (2, 5), (3, None), (4, 1)], "k long, n long")
+    assert sorted(map(tuple, shards.size_shards(files, ["k"], "n", 10).collect())) == [(0, 0), (1, 0), (2, 0), (3, 1), (4, 1)]

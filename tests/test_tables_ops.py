@@ -186,3 +186,11 @@ def test_compression_and_totals(spark):
         shards.require_one_compression(spark.createDataFrame([("a.gz",), ("b",)], "path string")).collect()
     rows = spark.createDataFrame([([1, 2], 0), ([3], 0), ([], 1)], "target array<bigint>, shard long")
     assert tuple(shards.encode_totals(rows).first()) == (3, 3, 2, 1.5)
+
+
+def test_null_contents_and_examples(spark):
+    docs = spark.createDataFrame([(1, None), (2, "a"), (3, None), (4, "a"), (5, "")], "k long, text string")
+    assert sorted(r.k for r in dedup.keep_first(docs, "k").collect()) == [1, 2, 5]
+    examples = spark.createDataFrame([(1, [1, 2]), (2, None), (3, []), (4, [3])], "k long, target array<long>")
+    placed = feed.pack_placement(examples, ["k"], 4).select("k", "row_no", "offset", "size").collect()
+    assert sorted(map(tuple, placed)) == [(1, 0, 0, 2), (4, 0, 2, 1)]
