@@ -92,7 +92,7 @@ def test_sampling(spark):
     files = spark.range(10).withColumnRenamed("id", "f")
     draws = spark.range(200).withColumnRenamed("id", "draw")
     got = {r.draw: r.f for r in feed.sample_with_replacement(files, ["f"], draws, 9).collect()}
-    assert got == {i: int(hashlib.md5(f"9-{i}".encode()).hexdigest()[:8], 16) % 10 for i in range(200)}
+    assert got == {i: int(hashlib.md5(f"9-{i}".encode()).hexdigest()[:15], 16) % 10 for i in range(200)}
 
 
 @pytest.mark.parametrize("n", [1, 4, 100, 6000])
