@@ -11,6 +11,15 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm.words import stored
 
+# Edge tables of up to this many rows, some tens of MB, are shuffled into a few partitions instead of the session's number.
+FEW_EDGES = 1_000_000
+EDGES_PER_PARTITION = 200_000
+
+
+def _placed(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, of a table of ``rows`` edges, by ``u``: rounds over few edges need no hundreds of tasks for each shuffle."""
+    return df.repartition(1 + rows // EDGES_PER_PARTITION, "u") if rows <= FEW_EDGES else df
+
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node that each node of an undirected edge table reaches.
@@ -26,19 +35,20 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         .distinct()
     )
     pairs = stored(pairs, "edges")
-    state = None
+    state, rows = None, pairs.count()
     while True:
-        both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = _placed(pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))), rows)
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        large = _placed(large, rows).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
-        pairs = stored(small.where("u <> v").distinct(), "edges")
+        pairs = stored(_placed(small.where("u <> v"), rows).distinct(), "edges")
         now = pairs.agg(F.count(F.lit(1)), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 31)))).first()
         if now == state or now[0] == 0:
             break
-        state = now
+        state, rows = now, now[0]
     least = pairs.groupBy("u").agg(F.min("v").alias("component"))
     roots = least.select(F.col("component").alias("node"), "component").distinct()
     return least.select(F.col("u").alias("node"), "component").unionByName(roots)

@@ -213,3 +213,16 @@ def test_texts_without_repeated_lines(spark):
     }
     assert lines_simhash.without_repeated_lines(empty_docs(spark)).count() == 0
     assert lines_simhash.line_groups(edge_docs(spark)).count() > 0
+
+
+def test_components_are_the_same_in_few_and_in_many_partitions(spark, monkeypatch):
+    """A chain, a star, loops and nulls: the number of partitions decides nothing."""
+    from corpusmill.llm import components as module
+
+    edges = [(i, i + 1) for i in range(10, 40)] + [(100, x) for x in range(101, 160)] + [(1, 1), (None, 3), (100, 120)]
+    df = spark.createDataFrame(edges, "a long, b long")
+    want = {**{i: 10 for i in range(10, 41)}, **{x: 100 for x in range(100, 160)}}
+    for few in (module.FEW_EDGES, 0):
+        monkeypatch.setattr(module, "FEW_EDGES", few)
+        rows = [(r.node, r.component) for r in module.components(df).collect()]
+        assert len(rows) == len(want) and dict(rows) == want
