@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from corpusmill.llm.dedup_cuckoo import OP12_SQL, op12_cuckoo
 from corpusmill.llm.jaccard_tree import op4_tree
 from corpusmill.llm.lines_simhash import op2_simhash
 from corpusmill.llm.mix_lengths import op9_lengths
@@ -10,6 +11,8 @@ from corpusmill.llm.passages_chain import op10_chains
 from corpusmill.llm.ppm import op1_ppm
 from corpusmill.llm.rp_forest import op6_forest
 from corpusmill.llm.rules_divergence import op5_divergence
+from corpusmill.llm.runs_suffix import op13_runs
+from corpusmill.llm.search_blas import OP11_SQL, op11_blas
 from corpusmill.llm.shard_slots import op8_slots
 from corpusmill.llm.warc_segments import op7_segments
 
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_slots": op8_slots,
     "op9_lengths": op9_lengths,
     "op10_chains": op10_chains,
+    "op11_blas": op11_blas,
+    "op12_cuckoo": op12_cuckoo,
+    "op13_runs": op13_runs,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_blas": OP11_SQL, "op12_cuckoo": OP12_SQL}
