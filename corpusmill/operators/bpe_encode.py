@@ -9,61 +9,68 @@ occurrences with array arithmetic.
 from __future__ import annotations
 
 import unicodedata
+from heapq import heapify, heappop, heappush
 from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from corpusmill.functions.bytelevel import BYTE_TO_ID
 from corpusmill.functions.text import fingerprint64, lacks_prefix_space, with_prefix_space, words_of
 from corpusmill.operators.bpe_train import Model
 from corpusmill.operators.clean import nfkc
+from corpusmill.operators.lexicon import Lexicon, cut_at_words
 
 _IDS = ArrayType(LongType())
 _SPANS = StructType([StructField(n, _IDS) for n in ("target", "offset_start", "offset_end")])
-# A noncharacter that valid interchange text does not contain; it frames added tokens.
-_FRAME = "\ufdd0"
+_CUT = StructType([StructField("stretches", ArrayType(StringType())), StructField("words", _IDS)])
 _MEMO_WORDS = 500_000
-_LONG_WORD = 2_000
 
 
 def encode(texts: DataFrame, model: Model, text: str = "text", ids: str = "target", normalize: bool = True) -> DataFrame:
-    """Adds the token ids of ``text``. Pass ``normalize=False`` for ASCII text."""
+    """Adds the token ids of ``text``; a null text has none. Pass ``normalize=False`` for ASCII text."""
     column = nfkc(F.col(text)) if normalize else F.col(text)
-    words = _words_around_added(column, model.added) if model.added else words_of(with_prefix_space(column))
-    return texts.withColumn(ids, _id_lists(model)(F.coalesce(words, F.array().cast("array<string>"))))
+    cut = texts.withColumn("_cut", _cut(column, model, normalize)).withColumn("_pretokens", _pretokens("_cut.stretches"))
+    return cut.withColumn(ids, _id_lists(model)(F.col("_pretokens"), F.col("_cut.words"))).drop("_cut", "_pretokens")
 
 
 def encode_with_offsets(units: DataFrame, model: Model, text: str = "text", normalize: bool = True) -> DataFrame:
     """Adds ``id`` (fingerprint of the unit), ``target`` (token ids) and ``offset_start`` and
     ``offset_end``: the characters of the original unit that each token covers, without the leading
-    spaces. A token that is only a space covers nothing."""
-    if model.added:
-        raise ValueError("offsets are defined for models without added tokens")
+    spaces. A token that is only a space covers nothing. Text after an added token gets a prefix space of its own, which counts
+    as the first character after the token, and is left out like any other."""
     column = nfkc(F.col(text)) if normalize else F.col(text)
-    words = F.coalesce(words_of(with_prefix_space(column)), F.array().cast("array<string>"))
-    prefixed = F.coalesce(lacks_prefix_space(column), F.lit(False))
-    spans = _span_lists(model)(words, prefixed, F.coalesce(F.col(text), F.lit("")))
+    cut = units.withColumn("_cut", _cut(column, model, normalize)).withColumn("_pretokens", _pretokens("_cut.stretches"))
+    prefixed = F.transform("_cut.stretches", lacks_prefix_space)
+    spans = _span_lists(model, normalize)(
+        F.col("_pretokens"), F.col("_cut.words"), prefixed, F.coalesce(F.col(text), F.lit(""))
+    )
     return (
-        units.withColumn("_spans", spans)
+        cut.withColumn("_spans", spans)
         .withColumn("id", fingerprint64(F.col(text)))
         .select("*", "_spans.target", "_spans.offset_start", "_spans.offset_end")
-        .drop("_spans")
+        .drop("_spans", "_cut", "_pretokens")
     )
 
 
 def decode(examples: DataFrame, vocab: DataFrame, ids: str = "target", text: str = "decoded") -> DataFrame:
     """Adds the text of ``ids``. The vocabulary enters as one array value (its size is bounded by the
-    vocabulary size), so each id is an array access and nothing is shuffled."""
+    vocabulary size), so each id is an array access and nothing is shuffled. An id without a token is an error."""
     tokens = vocab.agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct("id", F.hex("token").alias("token")))), lambda v: v["token"]
         ).alias("tokens")
     ).scalar()
-    bytes_hex = F.array_join(F.transform(ids, lambda i: F.get("_tokens", i.cast("int"))), "")
+
+
+    def token(i: Column) -> Column:
+        unknown = F.raise_error(F.concat(F.lit("no token has the id "), i.cast("string")))
+        return F.coalesce(F.get("_tokens", i.cast("int")), unknown.cast("string"))
+
+    bytes_hex = F.array_join(F.transform(ids, token), "")
     return (
         examples.withColumn("_tokens", tokens)
         .withColumn(text, F.make_valid_utf8(F.unhex(bytes_hex).cast("string")))
@@ -93,48 +100,67 @@ def added_token_coverage(texts: DataFrame, words: DataFrame, text: str = "text")
     return words.join(counts, "word", "left").select("word", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def _words_around_added(text: Column, added: list[str]) -> Column:
-    """Pre-tokens of the stretches between added tokens, and the added tokens framed. The longest added
-    token wins where several start at one place."""
-    longest_first = sorted(added, key=lambda w: (-len(w), w))
-    pattern = "(" + "|".join(rf"\Q{w}\E" for w in longest_first if w) + ")"
-    stretches = F.split(F.regexp_replace(text, pattern, f"{_FRAME}$1{_FRAME}"), _FRAME, -1)
-    return F.flatten(
-        F.transform(
-            stretches,
-            lambda s, i: F.when(i % 2 == 1, F.array(F.concat(F.lit(_FRAME), s))).otherwise(
-                words_of(with_prefix_space(s))
-            ),
-        )
-    )
+def _cut(text: Column, model: Model, normalize: bool) -> Column:
+    """The stretches of a text between added tokens, and the tokens' numbers; without added tokens the whole text is one."""
+    text = F.coalesce(text, F.lit(""))
+    if not model.added:
+        none = F.array().cast(_IDS)
+        return F.struct(F.array(text).alias("stretches"), none.alias("words"))
+    lexicon = Lexicon(_added_words(model, normalize))
+
+    def cut(texts: pa.Array) -> pa.Array:
+        return cut_at_words(lexicon, texts.to_pylist())
+
+    return F.arrow_udf(cut, _CUT)(text)
+
+
+def _added_words(model: Model, normalize: bool) -> list[str]:
+    """The added tokens as they stand in texts."""
+    return [unicodedata.normalize("NFKC", w) for w in model.added] if normalize else model.added
+
+
+def _pretokens(stretches: str) -> Column:
+    return F.transform(stretches, lambda s: words_of(with_prefix_space(s)))
 
 
 def _replayer(model: Model):
-    """word -> token ids, remembered across the batches of a task."""
+    """word -> token ids, remembered across the batches of a task.
+
+    The symbols of a word are a linked list, and its mergeable pairs a heap by rank, then place. A merge unlinks one symbol
+    and adds at most two pairs, so a word of n bytes takes O(n log n), whatever its length."""
     ranks = {(left, right): rank for rank, (left, right, _) in enumerate(model.merges)}
-    made = [new for _, _, new in model.merges]
+    merges = model.merges
     byte_ids = [BYTE_TO_ID[b] for b in range(256)]
-    added = {_FRAME + w: [len(model.tokens) + i] for i, w in enumerate(model.added)}
-    never = len(made)
     rank_of = ranks.get
     memo: dict[str, list[int]] = {}
 
     def replay(word: str) -> list[int]:
-        ids = memo.get(word) or added.get(word)
+        ids = memo.get(word)
         if ids is not None:
             return ids
         ids = [byte_ids[b] for b in word.encode()]
-        if len(ids) > _LONG_WORD:
-            return _replay_long(ids, ranks, model.merges)
-        order = [rank_of(pair, never) for pair in zip(ids, ids[1:])]
-        while order and (rank := min(order)) < never:
-            i = order.index(rank)
-            ids[i : i + 2] = [made[rank]]
-            del order[i]
-            if i:
-                order[i - 1] = rank_of((ids[i - 1], ids[i]), never)
-            if i < len(order):
-                order[i] = rank_of((ids[i], ids[i + 1]), never)
+        heap = [(rank, i) for i, pair in enumerate(zip(ids, ids[1:])) if (rank := rank_of(pair)) is not None]
+        if heap:
+            heapify(heap)
+            n = len(ids)
+            after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+            while heap:
+                rank, i = heappop(heap)
+                left, right, new = merges[rank]
+                j = after[i]
+                # A pair that an earlier merge took apart; a symbol that is gone is -1.
+                if ids[i] != left or j == n or ids[j] != right:
+                    continue
+                ids[i], ids[j] = new, -1
+                after[i] = k = after[j]
+                if k < n:
+                    before[k] = i
+                    if (rank := rank_of((new, ids[k]))) is not None:
+                        heappush(heap, (rank, i))
+                h = before[i]
+                if h >= 0 and (rank := rank_of((ids[h], new))) is not None:
+                    heappush(heap, (rank, h))
+            ids = [i for i in ids if i >= 0]
         if len(memo) >= _MEMO_WORDS:
             memo.clear()
         memo[word] = ids
@@ -143,17 +169,36 @@ def _replayer(model: Model):
     return replay
 
 
-def _replay_long(ids: list[int], ranks: dict, merges: list[tuple[int, int, int]]) -> list[int]:
-    """The same for a word of many bytes: all occurrences of the next pair in one pass."""
-    while (rank := min((ranks[p] for p in zip(ids, ids[1:]) if p in ranks), default=None)) is not None:
-        left, right, new = merges[rank]
-        out, i = [], 0
-        while i < len(ids):
-            both = ids[i] == left and i + 1 < len(ids) and ids[i + 1] == right
-            out.append(new if both else ids[i])
-            i += 1 + both
-        ids = out
-    return ids
+class _Items:
+    """The pre-tokens and added tokens of a batch in order, as numbers of distinct ones.
+
+    ``pretokens`` has one list of words per stretch and row; between two stretches of a row stands an added token."""
+
+    def __init__(self, pretokens: pa.Array, added: pa.Array):
+        rows = _offsets(pretokens)
+        stretches = pretokens.flatten()
+        self.first_word = _offsets(stretches)
+        distinct = stretches.flatten().dictionary_encode()
+        self.words = distinct.dictionary.to_pylist()
+        self.added, added_codes = np.unique(added.flatten().to_numpy(), return_inverse=True)
+        n_stretches = np.diff(rows)
+        self.row = np.repeat(np.arange(len(n_stretches)), n_stretches)
+        # Added tokens before the words of a stretch, in the whole batch.
+        self.added_before = np.arange(len(self.row)) - self.row
+        self.opens = np.zeros(len(self.row), bool)
+        self.opens[rows[:-1]] = True
+        self.codes = np.empty(int(self.first_word[-1]) + len(added_codes), np.int64)
+        in_stretch = np.repeat(np.arange(len(self.row)), np.diff(self.first_word))
+        self.codes[np.arange(len(in_stretch)) + self.added_before[in_stretch]] = distinct.indices.to_numpy()
+        self.codes[(self.first_word[:-1] + self.added_before - 1)[~self.opens]] = len(self.words) + added_codes
+        # Where the items of rows, and of the words of stretches, begin.
+        self.row_items = self.first_word[rows] + rows - np.arange(len(rows))
+        self.stretch_items = self.first_word[:-1] + self.added_before
+
+
+def _offsets(lists: pa.Array) -> np.ndarray:
+    offsets = lists.offsets.to_numpy()
+    return (offsets - offsets[0]).astype(np.int64)
 
 
 def _spread(lists: list[list[int]], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -167,26 +212,22 @@ def _spread(lists: list[list[int]], codes: np.ndarray) -> tuple[np.ndarray, np.n
     return flat[index], per_occurrence
 
 
-def _row_offsets(words: pa.ListArray, items_per_word: np.ndarray) -> np.ndarray:
-    """List offsets of the items, given the list offsets of the words they belong to."""
-    before = np.concatenate([[0], np.cumsum(items_per_word)])
-    offsets = words.offsets.to_numpy()
-    return before[offsets - offsets[0]].astype(np.int32)
-
-
 def _id_lists(model: Model):
     replay = _replayer(model)
+    first_added = len(model.tokens)
 
-    def ids(words: pa.Array) -> pa.Array:
-        distinct = words.flatten().dictionary_encode()
-        codes = distinct.indices.to_numpy()
-        items, per_word = _spread([replay(w) for w in distinct.dictionary.to_pylist()], codes)
-        return pa.ListArray.from_arrays(_row_offsets(words, per_word), pa.array(items, pa.int64()))
+    def ids(pretokens: pa.Array, added: pa.Array) -> pa.Array:
+        items = _Items(pretokens, added)
+        lists = [replay(w) for w in items.words] + [[first_added + i] for i in items.added.tolist()]
+        tokens, per_item = _spread(lists, items.codes)
+        before = np.insert(np.cumsum(per_item), 0, 0)
+        return pa.ListArray.from_arrays(before[items.row_items].astype(np.int32), pa.array(tokens, pa.int64()))
 
     return F.arrow_udf(ids, _IDS)
 
 
-def _span_lists(model: Model):
+def _span_lists(model: Model, normalize: bool):
+    added_words = _added_words(model, normalize)
     replay = _replayer(model)
     lengths = [len(t) for t in model.tokens]
     spaces = [len(t) - len(t.lstrip(b" ")) for t in model.tokens]
@@ -213,28 +254,40 @@ def _span_lists(model: Model):
         spans_memo[word] = ids, first, last
         return ids, first, last
 
-    def spans(words: pa.Array, prefixed: pa.Array, texts: pa.Array) -> pa.Array:
-        distinct = words.flatten().dictionary_encode()
-        codes = distinct.indices.to_numpy()
-        uniq = distinct.dictionary.to_pylist()
-        parts = [spans_in_word(w) for w in uniq]
-        ids, per_word = _spread([p[0] for p in parts], codes)
-        first, _ = _spread([p[1] for p in parts], codes)
-        last, _ = _spread([p[2] for p in parts], codes)
-        offsets = _row_offsets(words, per_word)
-
-        chars = np.array([len(w) for w in uniq], np.int64)[codes] if len(codes) else np.zeros(0, np.int64)
-        before = np.concatenate([[0], np.cumsum(chars)])
-        word_offsets = words.offsets.to_numpy() - words.offsets[0].as_py()
-        extra = prefixed.to_numpy(zero_copy_only=False).astype(np.int64)
-        words_per_row = np.diff(word_offsets)
-        row_base = np.repeat(before[word_offsets[:-1]] + extra, words_per_row)
-        shift = np.repeat(before[:-1] - row_base, per_word)
+    def span_of_added(i: int) -> tuple[list[int], list[int], list[int]]:
+        word = added_words[i]
+        return [len(model.tokens) + i], [len(word) - len(word.lstrip())], [len(word.rstrip()) or len(word)]
+
+    def spans(pretokens: pa.Array, added: pa.Array, prefixed: pa.Array, texts: pa.Array) -> pa.Array:
+        items = _Items(pretokens, added)
+        parts = [spans_in_word(w) for w in items.words] + [span_of_added(i) for i in items.added.tolist()]
+        ids, per_item = _spread([p[0] for p in parts], items.codes)
+        first, _ = _spread([p[1] for p in parts], items.codes)
+        last, _ = _spread([p[2] for p in parts], items.codes)
+        before = np.insert(np.cumsum(per_item), 0, 0)
+        offsets = before[items.row_items].astype(np.int32)
+
+        # A prefix space takes no place in the text: characters are counted without those that were put in before.
+        sizes = np.array([len(w) for w in items.words] + [len(added_words[i]) for i in items.added.tolist()], np.int64)
+        put_in = prefixed.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        size = sizes[items.codes] if len(items.codes) else np.zeros(0, np.int64)
+        starts = np.cumsum(size) - size
+        space = np.zeros(len(size) + 1, np.int64)
+        np.add.at(space, items.stretch_items, put_in)
+        starts = starts - np.cumsum(space)[:-1]
+        row_start = np.insert(np.cumsum(size), 0, 0)[items.row_items[:-1]]
+        spaces_before = np.insert(np.cumsum(put_in), 0, 0)[np.flatnonzero(items.opens)]
+        of_row = np.repeat(row_start - spaces_before, np.diff(items.row_items))
+        shift = np.repeat(starts - of_row, per_item)
         first, last = np.maximum(first + shift, 0), np.maximum(last + shift, 0)
         # A single space that opens the text stays with its token, like a prefix space would.
-        opening = offsets[:-1][(np.diff(offsets) > 0) & (extra == 0)]
+        opening = offsets[:-1][(np.diff(offsets) > 0) & (put_in[items.opens] == 0)]
         opening = opening[first[opening] == 1]
         first[opening], last[opening] = 0, np.where(last[opening] == 1, 0, last[opening])
+        # Further on, a prefix space stands for the character after it and is left out.
+        inner = before[items.stretch_items[(put_in == 1) & ~items.opens]]
+        last[inner] = np.maximum(last[inner], first[inner] + 1)
+        first[inner] += 1
         for row, text in enumerate(texts.to_pylist()):
             if not text.isascii() and unicodedata.normalize("NFKC", text) != text:
                 part = slice(offsets[row], offsets[row + 1])
