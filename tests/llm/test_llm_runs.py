@@ -17,20 +17,17 @@ def split(text):
 
 
 def brute(seq, least=6, periods=4):
+    """Stretches that equal themselves q words on, for every q, whose smallest period is q."""
     n, out = len(seq), []
-    for q in range(1, n):
-        k = 0
-        while k < n - q:
-            if seq[k] != seq[k + q]:
-                k += 1
-                continue
-            start = k
-            while k < n - q and seq[k] == seq[k + q]:
-                k += 1
-            length = k - start + q
-            part = seq[start : start + length]
-            smallest = next(d for d in range(1, q + 1) if part[d:] == part[:-d])
-            if length >= max(least, periods * q) and smallest == q:
+    numbers = {w: i for i, w in enumerate(dict.fromkeys(seq))}
+    a = np.array([numbers[w] for w in seq])
+    for q in range(1, n // periods + 1):
+        same = np.concatenate([[0], a[q:] == a[:-q], [0]]).astype(int)
+        starts, ends = np.flatnonzero(np.diff(same) == 1), np.flatnonzero(np.diff(same) == -1)
+        for start, end in zip(starts.tolist(), ends.tolist()):
+            length = end - start + q
+            part = a[start : start + length]
+            if length >= max(least, periods * q) and not any((part[d:] == part[:-d]).all() for d in range(1, q)):
                 out.append((start, length, q))
     return sorted(out, key=lambda r: (r[0], r[2]))
 
