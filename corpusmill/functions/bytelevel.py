@@ -51,14 +51,3 @@ ANY = r"[^\uDC00-\uDFFF]"
 def adjacent_pairs(symbols: Column) -> Column:
     """All neighbouring symbols as two-character strings, overlaps included."""
     return F.regexp_extract_all(symbols, F.lit(f"(?s)(?=({ANY}{ANY}))"), F.lit(1))
-
-
-def contexts(symbols: Column, pairs: list[str]) -> Column:
-    """The given pairs with their left neighbour, and with their right neighbour."""
-    any_pair = "|".join(pairs)
-    left = F.regexp_extract_all(symbols, F.lit(f"(?s)(?=({ANY}(?:{any_pair})))"), F.lit(1))
-    right = F.regexp_extract_all(symbols, F.lit(f"(?s)(?=((?:{any_pair}){ANY}))"), F.lit(1))
-    return F.concat(
-        F.transform(left, lambda t: F.struct(F.substring(t, 2, 2).alias("pair"), F.lit(0).alias("side"), t.alias("context"))),
-        F.transform(right, lambda t: F.struct(F.substring(t, 1, 2).alias("pair"), F.lit(1).alias("side"), t.alias("context"))),
-    )

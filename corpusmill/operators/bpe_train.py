@@ -1,16 +1,12 @@
 """Byte-level BPE training from distributed pair counts.
 
-The distinct words and their counts stay in Spark. A round counts neighbouring symbols (partial
-aggregation per task) and brings the most frequent pairs to the driver, together with how often they occur
-next to each other. From these the driver keeps, for each pair, bounds of its count after the merges chosen
-so far in the round, and goes on choosing while one pair is certainly the most frequent:
+The distinct words and their counts stay in Spark, below an index from pairs to words (``bpe_index``). The driver holds the
+exact counts of the most frequent pairs. In a round it forecasts the next merges from the most frequent words; a job replays them
+on the words that hold one of their pairs and returns how each merge changes the counts that matter. The driver then follows the
+exact counts, merge by merge, and accepts the forecast as far as every merge is the most frequent pair. The first one
+always is, so a poor forecast costs rounds and never changes the result, which is that of merging one pair at a time.
 
-* merging a pair takes from an overlapping pair at most the occurrences the two share, and exactly these if
-  nothing merged before touches its symbols; other old pairs keep their counts and none gains;
-* a new pair is at most as frequent as the merged pair with one more neighbour was before the round.
-
-So a round merges several pairs and the result is that of merging one pair at a time. What the driver holds
-is bounded by the vocabulary size.
+What the driver holds is bounded by constants and the vocabulary size.
 """
 
 from __future__ import annotations
@@ -20,27 +16,15 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.functions.bytelevel import (
-    FIRST_MERGE_ID,
-    ID_TO_BYTE,
-    SPECIAL_TOKENS,
-    adjacent_pairs,
-    contexts,
-    symbol,
-    symbol_id,
-    symbols_of,
-)
+from corpusmill.functions.bytelevel import FIRST_MERGE_ID, ID_TO_BYTE, SPECIAL_TOKENS, adjacent_pairs, symbols_of
 from corpusmill.functions.text import with_prefix_space, words_of
+from corpusmill.operators.bpe_index import MOST_PAIRS, Forecast, Merge, PairIndex, Ranking, pair_of, symbols_of_pair
 from corpusmill.operators.clean import nfkc
-from corpusmill.session import cut_lineage
 
 # Fixed value: pairs rarer than this are not merged.
 MIN_FREQUENCY = 2
-# Pairs whose counts a round looks at, and how many of them it may merge.
-MOST_PAIRS_PER_ROUND = 256
-MOST_MERGES_PER_ROUND = 32
-# Replacements carried along as one expression before the words are written out again.
-MOST_PENDING_MERGES = 48
+# Merges that the first round looks at, and a later one at least and at most.
+FIRST_ROUND, LEAST_ROUND, MOST_MERGES_PER_ROUND = 128, 48, 512
 
 
 @dataclass
@@ -105,14 +89,6 @@ def initial_symbols(words: DataFrame) -> DataFrame:
     return words.select(symbols_of(F.col("word")).alias("symbols"), "n").where(F.length("symbols") > 1)
 
 
-def _written(state: DataFrame) -> DataFrame:
-    """The words that still have something to merge, written out evenly: a round is many small
-    counting steps per word, so its tasks are cut by words and not by bytes."""
-    spark = state.sparkSession
-    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return cut_lineage(state.where(F.length("symbols") > 1).repartition(tasks))
-
-
 def train(
     words: DataFrame,
     vocab_size: int,
@@ -126,103 +102,81 @@ def train(
         raise ValueError(f"vocab_size {vocab_size} is less than the {len(added)} added tokens")
     tokens = [t.encode() for t in SPECIAL_TOKENS] + [bytes([b]) for b in ID_TO_BYTE]
     known = {t: i for i, t in enumerate(tokens)}
-    merges: list[tuple[int, int, int]] = []
-    state, pending = _written(initial_symbols(words)), 0
-
+    merges: list[Merge] = []
+    if len(tokens) >= vocab_size:
+        return Model(merges, tokens, added)
+    index = PairIndex(words)
+    forecast = Forecast(index.sample)
+    counts, last = _most_frequent(index)
+    ahead = min(FIRST_ROUND, merges_per_round)
     while len(tokens) < vocab_size:
-        top = (
-            pair_counts(state)
-            .where(F.col("n") >= MIN_FREQUENCY)
-            .orderBy(F.col("n").desc(), "pair")
-            .limit(MOST_PAIRS_PER_ROUND)
-            .collect()
-        )
-        if not top:
-            break
-        room = min(merges_per_round, vocab_size - len(tokens))
-        batch = _certain_merges(state, {r.pair: r.n for r in top}, tokens, known, room)
-        column = F.col("symbols")
-        for pair in batch:
-            left, right = symbol_id(pair[0]), symbol_id(pair[1])
-            token = tokens[left] + tokens[right]
-            if token not in known:
-                known[token] = len(tokens)
-                tokens.append(token)
-            merges.append((left, right, known[token]))
-            column = F.replace(column, F.lit(pair), F.lit(symbol(known[token])))
-        state, pending = state.select(column.alias("symbols"), "n"), pending + len(batch)
-        if pending > MOST_PENDING_MERGES and len(tokens) < vocab_size:
-            state, pending = _written(state), 0
+        best = Ranking(counts).best()
+        if best is None or best > last:
+            if last[0] == -MIN_FREQUENCY and last[1] == NO_PAIR:
+                break
+            counts, last = _most_frequent(index)
+            if not counts:
+                break
+            continue
+        batch = _forecast(forecast, counts, last, tokens, known, min(ahead, vocab_size - len(tokens)))
+        changes = index.changes(merges, batch, counts, -last[0])
+        ranking, held = Ranking(counts), 0
+        for (left, right, new), change in zip(batch, changes):
+            best = ranking.best()
+            if best is None or best > last or best[1] != pair_of(left, right):
+                break
+            merges.append((left, right, new))
+            if new == len(tokens):
+                known[tokens[left] + tokens[right]] = new
+                tokens.append(tokens[left] + tokens[right])
+            for pair, n in change.items():
+                ranking.add(pair, n)
+            held += 1
+        index.accept(held)
+        forecast.settle(held)
+        counts = {pair: n for pair, n in ranking.counts.items() if n >= -last[0]}
+        ahead = min(2 * ahead, merges_per_round) if held == len(batch) else min(max(2 * held, LEAST_ROUND), merges_per_round)
+        # Occurrences of a known token that a merge makes count with its old ones, also in pairs that were not held.
+        again = held and batch[held - 1][2] != len(tokens) - 1
+        if (again or not index.settled) and len(tokens) < vocab_size:
+            counts, last = _most_frequent(index)
+    index.close()
     return Model(merges, tokens, added)
 
 
-def _certain_merges(state: DataFrame, counts: dict[str, int], tokens: list[bytes], known: dict, room: int) -> list[str]:
-    """The next pairs to merge in order, as far as the bounds decide it. ``counts`` holds the most frequent
-    pairs, most frequent first; the first one is always certain. A pair that makes a known token is merged
-    alone, as the token's old occurrences count with the new ones."""
-    pairs = list(counts)
-
-    def token_of(pair: str) -> bytes:
-        return tokens[symbol_id(pair[0])] + tokens[symbol_id(pair[1])]
-
-    if room == 1 or len(pairs) == 1 or token_of(pairs[0]) in known:
-        return pairs[:1]
-    candidates = pairs[:room]
-    shared, most_new = _neighbourhoods(state, candidates, pairs)
-    # Pairs that were not looked at are no more frequent than the last one that was.
-    unseen = counts[pairs[-1]] if len(pairs) == MOST_PAIRS_PER_ROUND else MIN_FREQUENCY - 1
-    low, high = dict(counts), dict(counts)
-    chosen: list[str] = []
-    made: set[bytes] = set()
-    touched: set[str] = set()
-    while len(chosen) < room:
-        best = min(low, key=lambda p: (-low[p], p))
-        rival = min((p for p in high if p != best), key=lambda p: (-high[p], p), default=None)
-        if chosen and (
-            best not in most_new
-            or low[best] <= unseen
-            or rival is not None and (-low[best], best) > (-high[rival], rival)
-            or token_of(best) in known
-            or token_of(best) in made
-        ):
-            break
-        whole = best[0] != best[1] and not touched & set(best)
-        for other, sides in shared[best].items():
-            if other in low and other != best:
-                low[other] -= sum(sides)
-                if whole:
-                    high[other] = min(high[other], counts[other] - max(sides))
-        chosen.append(best)
-        made.add(token_of(best))
-        touched |= set(best)
-        unseen = max(unseen, most_new[best])
-        del low[best], high[best]
-        if not low:
-            break
-    return chosen
+# Comes after every pair.
+NO_PAIR = 1 << 62
 
 
-def _neighbourhoods(state: DataFrame, candidates: list[str], pairs: list[str]) -> tuple[dict, dict]:
-    """For each candidate: the occurrences it shares with each of ``pairs`` on its left and right side, and
-    its most frequent occurrence with one neighbour. At most two rows per two pairs reach the driver."""
-    found = F.explode(contexts(F.col("symbols"), candidates)).alias("c")
-    overlapping = F.when(F.col("side") == 0, F.substring("context", 1, 2)).otherwise(F.substring("context", 2, 2))
-    rows = (
-        state.select(found, "n")
-        .groupBy("c.pair", "c.side", "c.context")
-        .agg(F.sum("n").alias("n"))
-        .withColumn("other", overlapping)
-        .groupBy("pair")
-        .agg(
-            F.max("n").alias("most"),
-            F.collect_list(F.when(F.col("other").isin(pairs), F.struct("other", "side", "n"))).alias("shared"),
-        )
-        .collect()
-    )
-    shared = {p: {} for p in candidates}
-    most = dict.fromkeys(candidates, 0)
-    for row in rows:
-        most[row.pair] = row.most
-        for item in row.shared:
-            shared[row.pair].setdefault(item.other, [0, 0])[item.side] += item.n
-    return shared, most
+def _most_frequent(index: PairIndex) -> tuple[dict[int, int], tuple[int, int]]:
+    """The counts that the driver holds, and (-n, pair) such that all pairs it does not hold come after it."""
+    top = index.top()
+    last = (-top[-1][1], top[-1][0]) if len(top) == MOST_PAIRS else (-MIN_FREQUENCY, NO_PAIR)
+    last = min(last, (-MIN_FREQUENCY, NO_PAIR))
+    return {pair: n for pair, n in top if (-n, pair) <= last}, last
+
+
+def _forecast(
+    forecast: Forecast, counts: dict[int, int], last: tuple[int, int], tokens: list[bytes], known: dict[bytes, int], most: int
+) -> list[Merge]:
+    """Up to ``most`` merges, the first one certain. A merge that makes a known token is the last one."""
+    ranking, batch = Ranking(counts), []
+    made, names = dict(known), list(tokens)
+    while len(batch) < most:
+        best = ranking.best()
+        if best is None or best > last:
+            break
+        left, right = symbols_of_pair(best[1])
+        token = names[left] + names[right]
+        new = made.setdefault(token, len(names))
+        batch.append((left, right, new))
+
+        for pair, n in forecast.merge(left, right, new).items():
+            if pair in ranking.counts or new in symbols_of_pair(pair):
+                ranking.add(pair, n)
+        if new < len(names):
+            break
+        names.append(token)
+        # The sample may lack occurrences: what was merged is gone.
+        ranking.counts[best[1]] = 0
+    return batch

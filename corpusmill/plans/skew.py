@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.plans.bloom import without_members
 from corpusmill.session import cut_lineage
 
 # A key is hot when it holds more than 1/HOT_SHARE of the counted rows, so there are fewer than
@@ -44,9 +45,10 @@ MOST_BROADCAST_IDS = 5_000_000
 def without_ids(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """``rows`` whose ``key`` is not among ``ids``.
 
-    The ids are counted first. As long as they fit a broadcast the rows, which may be as wide as whole
-    documents, stay where they are; more ids are joined by shuffle. ``key`` is unique in ``rows``, so that join
-    has no hot key."""
+    The ids are counted first. As long as they fit a broadcast they are sent as they are, beyond that as Bloom filters of a bounded
+    size, so the rows, which may be as wide as whole documents, stay where they are. ``key`` is unique in ``rows``."""
     ids = cut_lineage(ids)
-    few = ids.count() <= MOST_BROADCAST_IDS
-    return rows.join(F.broadcast(ids) if few else ids, key, "left_anti")
+    n = ids.count()
+    if n <= MOST_BROADCAST_IDS:
+        return rows.join(F.broadcast(ids), key, "left_anti")
+    return without_members(rows, ids, key, n, MOST_BROADCAST_IDS)

@@ -59,3 +59,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     executor costs a re-read instead of a recomputation."""
     scratch_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Deletes a table of the shared folder that nothing will read again."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

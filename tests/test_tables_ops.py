@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import re
 from collections import Counter
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import sequences
 from corpusmill.operators import dedup, evaluate, feed, shards, synth
-from corpusmill.plans import skew
+from corpusmill.plans import bloom, skew
 from corpusmill.session import scratch_path
 from corpusmill.plans.skew import join_on_counted_key
 
@@ -41,10 +42,30 @@ def test_dedup(copies):
 
 
 def test_keep_first_beyond_the_broadcast(copies, monkeypatch):
+    """Copies that are too many to send: no text is shuffled, and the same rows stay."""
     rows, df = copies
     want = {r.path for r in dedup.keep_first(df, "ordinal").collect()}
-    monkeypatch.setattr(skew, "MOST_BROADCAST_IDS", 1)
-    assert {r.path for r in dedup.keep_first(df, "ordinal").collect()} == want
+    monkeypatch.setattr(skew, "MOST_BROADCAST_IDS", 20)
+    got = dedup.keep_first(df.sparkSession.createDataFrame(rows, "ordinal long, path string, text string"), "ordinal")
+    assert {r.path for r in got.collect()} == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"Exchange (hash|range|RoundRobin)", plan)
+
+
+@pytest.mark.parametrize("most_sent, longs, levels", [(40, 16, 1), (3, 32, 2), (0, 64, 2), (0, 1, 1), (40, 1024, 1)])
+def test_cascades_of_filters(spark, monkeypatch, most_sent, longs, levels):
+    """Filters of all sizes, also ones that hit nearly everything."""
+    monkeypatch.setattr(bloom, "LEAST_LONGS", 1)
+    monkeypatch.setattr(bloom, "MOST_LONGS", longs)
+    made = []
+    of = bloom.bloom_filter
+    monkeypatch.setattr(bloom, "bloom_filter", lambda keys, key, n: made.append(n) or of(keys, key, n))
+    rows = spark.range(3000).select(F.when(F.col("id") != 7, F.col("id")).alias("k"), F.col("id").alias("v"))
+    members = spark.range(3000).where("id % 11 = 0").select(F.col("id").alias("k"))
+    got = bloom.without_members(rows, members, "k", members.count(), most_sent)
+    assert sorted(r.v for r in got.collect()) == [i for i in range(3000) if i % 11]
+    assert got.columns == rows.columns
+    assert len(made) >= levels
 
 
 def test_join_on_counted_key(spark):
