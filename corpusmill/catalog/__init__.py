@@ -1,8 +1,8 @@
 """Queries over the given tables, each with its DuckDB counterpart where SQL can express it."""
 
-from corpusmill.catalog import evaluation, feeding, filtering, records, synthetic, texts, tokens
+from corpusmill.catalog import evaluation, feeding, filtering, records, synthetic, texts, tokens, uncut
 
-MODULES = (texts, filtering, synthetic, feeding, tokens, records, evaluation)
+MODULES = (texts, filtering, synthetic, feeding, tokens, records, uncut, evaluation)
 
 
 def all_queries() -> dict:

@@ -78,6 +78,18 @@ def decode(examples: DataFrame, vocab: DataFrame, ids: str = "target", text: str
     )
 
 
+@F.arrow_udf(ArrayType(StringType()))
+def _slices(texts: pa.Array, starts: pa.Array, ends: pa.Array) -> pa.Array:
+    rows = zip(texts.to_pylist(), starts.to_pylist(), ends.to_pylist())
+    return pa.array([None if t is None else [t[a:b] for a, b in zip(s, e)] for t, s, e in rows], pa.list_(pa.string()))
+
+
+def token_slices(examples: DataFrame, text: str = "text") -> DataFrame:
+    """Adds ``slices``: what each token of ``offset_start`` and ``offset_end`` covers of the text. A cut by characters
+    begins at the text's start, so a text is handed to a task as one string and cut there."""
+    return examples.withColumn("slices", _slices(F.col(text), F.col("offset_start"), F.col("offset_end")))
+
+
 def expected_decoding(text: Column, normalize: bool = True) -> Column:
     """What decoding an encoded text gives: the normalised text with the prefix space."""
     return with_prefix_space(nfkc(text) if normalize else text)

@@ -144,6 +144,15 @@ def train(
     return Model(merges, tokens, added)
 
 
+def read_added(lexicon: DataFrame, vocab_size: int) -> list[str]:
+    """The distinct words of a lexicon (word) in its alphabetical order. More words than the vocabulary has tokens are an
+    error before they are read."""
+    words = lexicon.select("word").distinct()
+    if words.count() > vocab_size:
+        raise ValueError(f"vocab_size {vocab_size} is less than the number of added tokens")
+    return [r.word for r in words.orderBy("word").collect()]
+
+
 # Comes after every pair.
 NO_PAIR = 1 << 62
 

@@ -33,10 +33,13 @@ def write_examples(
 ) -> None:
     """(shard, id, content, target, offset_start, offset_end) to one file per shard. Refuses a folder
     that is not empty unless ``mode`` is overwrite."""
+    # Under names of their own, as they may be columns of the records, too.
+    keys = {f"_order_{i}": column for i, column in enumerate(order or [])}
     rows = examples.select(
-        shard, *(order or []), signed_id(F.col("id")).alias("id"), "content", "target", "offset_start", "offset_end"
+        shard, *[F.col(column).alias(key) for key, column in keys.items()],
+        signed_id(F.col("id")).alias("id"), "content", "target", "offset_start", "offset_end",
     )
-    write_records(rows, location, shard, total, compression, name, mode, order)
+    write_records(rows, location, shard, total, compression, name, mode, list(keys))
 
 
 def read_examples(spark: SparkSession, location: str) -> DataFrame:

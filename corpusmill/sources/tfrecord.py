@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceArrowWriter,
@@ -411,7 +412,9 @@ def write_records(
     if shard:
         # ``order`` columns only sort; they are not part of the records.
         order = order or []
-        sorted_rows = examples.repartition(max(total, 1), shard).sortWithinPartitions(shard, *order)
+        # The shard is the partition: each task writes one file.
+        placed = examples.repartitionById(max(total, 1), F.col(shard).cast("int"))
+        sorted_rows = placed.sortWithinPartitions(shard, *order)
         examples = sorted_rows.drop(*order)
     writer = examples.write.format("tfrecord").mode(mode).option("compression", compression).option("name", name)
     if shard:
