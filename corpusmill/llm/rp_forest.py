@@ -3,8 +3,12 @@
 Vectors get one more component that gives all of them the length of the longest, so that the largest inner product with a query
 is the nearest neighbour in angle. The trees are fitted on a sample of at most ``SAMPLE`` vectors: a node
 splits at the median of a random projection. Every vector is put in one leaf of each tree. A query pops nodes of all trees
-from one shared priority queue, nearest boundary first, until it has a share of all leaves; in each leaf its
-candidates are scored with the original vectors and the best are kept, and the best of all leaves win.
+from one shared priority queue, nearest boundary first, until it has a share of all leaves; the vectors in them are
+scored as they were given and the best win.
+
+Queries are sent to the tasks with their leaves, ``QUERIES`` at a time. A task reads its part of the vectors in pieces of
+``PIECE`` rows, scores each leaf of a piece for the queries that chose it, and keeps one running list of the best for each
+query. So vectors are neither copied nor gathered by leaf, and what leaves a task is ``k + 1`` rows for each query.
 
 Of equal vectors only the ``k + 1`` with the smallest ids can be among the nearest, so no more are indexed, and
 equal queries are searched once; a leaf cannot fill up with copies.
@@ -20,10 +24,10 @@ result; other columns are not read. Rows with one id are candidates each; none o
 from __future__ import annotations
 
 import heapq
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,9 +36,18 @@ from corpusmill.llm.words import rows_of, stored
 
 SAMPLE = 20_000
 TREES = 4
-LEAF = 1024
+# Rows of a leaf, as far as the sample allows trees of this depth.
+LEAF, LEAST_DEPTH = 256, 2
 SHARE = 0.25
+# A query reads on until its leaves hold this many rows per result, so a small table is searched as thoroughly as a large one.
+ROWS_PER_RESULT = 16
 SEED = 11
+# Queries sent together: with 64 components and 1,024 leaves each, some 80 MB.
+QUERIES = 16_384
+# Vectors that a task holds, and that it reads in all: with fewer tasks there are fewer lists to merge.
+PIECE, PER_TASK, LEAST_TASKS = 1 << 15, 1 << 17, 8
+# Candidates that a task holds before it reduces them to the best of each query.
+HELD = 1 << 19
 
 
 def usable(vectors: DataFrame, id: str, embedding: str) -> DataFrame:
@@ -73,15 +86,16 @@ class Forest:
             out[t] = at
         return out
 
-    def probes(self, q: np.ndarray, n: int) -> list[tuple[int, int]]:
-        """The first ``n`` leaves (tree, leaf) of a query, in the order of a queue that all trees share.
+    def probes(self, q: np.ndarray, n: int, sizes: np.ndarray, rows: int) -> list[tuple[int, int]]:
+        """The first leaves (tree, leaf) of a query, in the order of a queue that all trees share: at least ``n``, and so many
+        that their ``sizes`` (trees, nodes) add up to ``rows``.
 
         A node's priority is the squared distance to the boundaries crossed on the way to it."""
         margins = self.directions @ q - self.thresholds
         inner = margins.shape[1]
         queue = [(0.0, t, 0) for t in range(self.n_trees)]
         out: list[tuple[int, int]] = []
-        while queue and len(out) < n:
+        while queue and (len(out) < n or rows > 0):
             cost, t, node = heapq.heappop(queue)
             while node < inner:
                 m = margins[t, node]
@@ -89,23 +103,77 @@ class Forest:
                 heapq.heappush(queue, (cost + m * m, t, 2 * node + 1 + (not right)))
                 node = 2 * node + 1 + right
             out.append((t, node))
+            rows -= sizes[t, node]
         return out
 
 
-def best(q: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(ids, scores) of the ``k`` rows of ``x`` with the largest inner product, for every query."""
-    for at in range(0, len(q), 256):
-        rough = q[at : at + 256] @ x.T
-        if len(ids) > k:
-            least = np.partition(rough, len(ids) - k, axis=1)[:, len(ids) - k] - 1e-9 * np.abs(rough).max(axis=1)
-        else:
-            least = np.full(len(rough), -np.inf)
-        for query, row, floor in zip(q[at : at + 256], rough, least):
-            near = np.flatnonzero(row >= floor)
+class Best:
+    """The ``k`` best rows of each query so far."""
+
+    def __init__(self, queries: np.ndarray, k: int):
+        self.queries, self.k = queries, k
+        self.least = np.full(len(queries), -np.inf)
+        self.held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+        self.size = 0
+        self.parts: list[list[np.ndarray]] = []
+
+    def add(self, some: np.ndarray, x: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
+        """Scores ``rows`` of ``x`` for ``some`` queries and holds those that may be among the best."""
+        for at in range(0, len(some), 256):
+            q = some[at : at + 256]
+            rough = self.queries[q] @ x[rows].T
+            # The product may differ from the score in its last digits.
+            slack = 1e-9 * np.abs(rough).max(axis=1)
+            if len(rows) > self.k:
+                kth = np.partition(rough, len(rows) - self.k, axis=1)[:, len(rows) - self.k] - slack
+                self.least[q] = np.maximum(self.least[q], kth - slack)
+            of, row = np.nonzero(rough >= (self.least[q] - slack)[:, None])
+            self.parts.append([q[of], rows[row]])
+            self.size += len(of)
+
+    def settle(self, x: np.ndarray, ids: np.ndarray) -> None:
+        """Reduces what is held of the piece ``x``; a row that several trees offered counts once."""
+        if self.parts:
+            query, row = (np.concatenate(c) for c in zip(*self.parts))
+            pair = np.unique(query * len(x) + row)
+            query, row = pair // len(x), pair % len(x)
+            score = np.empty(len(query))
             # One sum per pair, whatever stands beside it: equal vectors score equally.
-            score = (x[near] * query).sum(axis=1)
-            order = np.lexsort((ids[near], -score))[:k]
-            yield ids[near][order], score[order]
+            for at in range(0, len(query), 1 << 16):
+                part = slice(at, at + (1 << 16))
+                score[part] = (x[row[part]] * self.queries[query[part]]).sum(axis=1)
+            held = [np.concatenate(c) for c in zip(self.held, [query, ids[row], score])]
+            order = np.lexsort((held[1], -held[2], held[0]))
+            rank = np.arange(len(order)) - np.searchsorted(held[0][order], held[0][order])
+            self.held = [c[order[rank < self.k]] for c in held]
+            last = order[rank == self.k - 1]
+            self.least[held[0][last]] = np.maximum(self.least[held[0][last]], held[2][last])
+        self.parts, self.size = [], 0
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in pieces of about ``PIECE``."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+        if sum(b.num_rows for b in held) >= PIECE:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held = []
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def _blocks(queries: DataFrame) -> Iterator[DataFrame]:
+    """The queries in blocks of at most ``QUERIES`` rows, whose sizes are checked before they are read."""
+    blocks = -(-queries.count() // QUERIES) or 1
+    while True:
+        dealt = queries.withColumn("_block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)))
+        if blocks == 1 or not dealt.groupBy("_block").count().where(f"count > {QUERIES}").count():
+            break
+        blocks += 1 + blocks // 8
+    for block in range(blocks):
+        yield dealt.where(F.col("_block") == block).drop("_block")
 
 
 def nearest(
@@ -121,12 +189,13 @@ def nearest(
     sample = (
         rows.orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id").limit(SAMPLE).select("v").toArrow()["v"].to_pylist()
     )
-    length = int(pd.Series([len(v) for v in sample]).mode().iloc[0]) if sample else 1
+    lengths = Counter(len(v) for v in sample)
+    length = min(lengths, key=lambda n: (-lengths[n], n)) if sample else 1
     rows = rows.where(F.size("v") == length)
     norm = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
     stats = rows.agg(F.max(norm).alias("m"), F.count(F.lit(1)).alias("n")).first()
     longest, n_rows = float(np.sqrt(stats["m"] or 1.0)), stats["n"]
-    depth = int(np.clip(np.ceil(np.log2(max(1, n_rows) / LEAF)), 0, np.log2(SAMPLE / 16)))
+    depth = int(np.clip(np.ceil(np.log2(max(1, n_rows) / LEAF)), LEAST_DEPTH, np.log2(SAMPLE / 16)))
 
     def extended(x: np.ndarray) -> np.ndarray:
         x = x / longest
@@ -150,54 +219,72 @@ def nearest(
         trees = received()
         for batch in batches:
             x = matrix(batch.column("v"))
-            for t, leaf in enumerate(trees.leaves(extended(x))):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(x), t)), pa.array(leaf), batch.column("doc_id"), batch.column("v")],
-                    names=["tree", "leaf", "doc_id", "v"],
-                )
+            leaves = trees.leaves(extended(x)).T if len(x) else np.zeros((0, TREES), np.int64)
+            lists = pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * TREES, pa.array(leaves.ravel(), pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("v"), lists], names=["doc_id", "v", "leaves"])
 
     def probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = received()
         for batch in batches:
-            x = matrix(batch.column("v"))
-            found = [
-                (t, leaf, i)
-                for i, q in enumerate(x)
-                for t, leaf in trees.probes(np.append(q / np.linalg.norm(q), 0.0), n_probes)
+            chosen = [
+                [t * n_nodes + leaf for t, leaf in trees.probes(np.append(q / np.linalg.norm(q), 0.0), n_probes, sizes, least_rows)]
+                for q in matrix(batch.column("v"))
             ]
-            if found:
-                t, leaf, i = (pa.array(c, pa.int64()) for c in zip(*found))
-                yield pa.RecordBatch.from_arrays(
-                    [t, leaf, batch.column("doc_id").take(i), batch.column("v").take(i)], names=["tree", "leaf", "doc_id", "v"]
-                )
-
-    def searched(key: tuple, queries: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
-        if len(queries) == 0 or len(members) == 0:
-            return pd.DataFrame({"query": [], "vec_id": [], "score": []})
-        x, ids = np.stack(members["v"].to_numpy()), members["doc_id"].to_numpy()
-        found = list(best(np.stack(queries["v"].to_numpy()), x, ids, k + 1))
-        return pd.DataFrame(
-            {
-                "query": np.repeat(queries["doc_id"].to_numpy(), [len(i) for i, _ in found]),
-                "vec_id": np.concatenate([i for i, _ in found]),
-                "score": np.concatenate([s for _, s in found]),
-            }
-        )
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("v"), pa.array(chosen, pa.list_(pa.int64()))], names=["doc_id", "v", "leaves"]
+            )
+
+    def searcher(some):
+        def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            query_ids, q, chosen, sizes = some.value
+            asked = np.repeat(np.arange(len(q)), sizes)
+            order = np.argsort(chosen, kind="stable")
+            asked, chosen = asked[order], chosen[order]
+            found = Best(q, k + 1)
+            for piece in _pieces(batches):
+                x, ids = matrix(piece.column("v")), piece.column("doc_id").to_numpy()
+                leaves = piece.column("leaves").flatten().to_numpy().reshape(-1, TREES)
+                for t in range(TREES):
+                    by_leaf = np.argsort(leaves[:, t], kind="stable")
+                    numbers, starts = np.unique(leaves[by_leaf, t], return_index=True)
+                    for leaf, rows in zip(numbers.tolist(), np.split(by_leaf, starts[1:])):
+                        low, high = np.searchsorted(chosen, (t * n_nodes + leaf, t * n_nodes + leaf + 1))
+                        if high > low:
+                            found.add(asked[low:high], x, ids, rows)
+                            if found.size > HELD:
+                                found.settle(x, ids)
+                found.settle(x, ids)
+            query, ids, score = found.held
+            yield pa.RecordBatch.from_arrays([pa.array(query_ids[query]), pa.array(ids), pa.array(score)], names=["query", "vec_id", "score"])
 
-    schema = "tree long, leaf long, doc_id long, v array<double>"
+        return search
+
+    n_nodes = 2 << depth
+    schema = "doc_id long, v array<double>, leaves array<long>"
     rows = rows.withColumn("doc_id", F.col("doc_id").cast("long"))
     copies = F.row_number().over(Window.partitionBy("v").orderBy("doc_id"))
-    index = rows.withColumn("_copy", copies).where(F.col("_copy") <= k + 1).select("doc_id", "v").mapInArrow(indexed, schema)
+    index = rows.withColumn("_copy", copies).where(F.col("_copy") <= k + 1).select("doc_id", "v")
+    index = stored(index.mapInArrow(indexed, schema), "forest-leaves")
+    # One row for each leaf.
+    filled = index.select(F.posexplode("leaves").alias("tree", "leaf")).groupBy("tree", "leaf").count().collect()
+    sizes = np.zeros((TREES, n_nodes), np.int64)
+    for t, leaf, n in filled:
+        sizes[t, leaf] = n
+    least_rows = TREES * ROWS_PER_RESULT * (k + 1)
     asked = rows.where(is_query).select("doc_id", "v")
     # Equal queries are searched as the one with the smallest id.
-    queries = asked.groupBy("v").agg(F.min("doc_id").alias("doc_id"))
-    probes = queries.select("doc_id", "v").mapInArrow(probed, schema)
-    found = (
-        probes.groupBy("tree", "leaf")
-        .cogroup(index.groupBy("tree", "leaf"))
-        .applyInPandas(searched, "query long, vec_id long, score double")
-        .distinct()
-    )
+    queries = stored(asked.groupBy("v").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "v").mapInArrow(probed, schema), "forest-queries")
+    n_tasks = max(LEAST_TASKS, -(-n_rows // PER_TASK))
+    found = None
+    for block in _blocks(queries):
+        held = block.toArrow().combine_chunks()
+        chosen = held["leaves"].combine_chunks()
+        q = matrix(held["v"].combine_chunks()) if held.num_rows else np.zeros((0, length))
+        some = rows.sparkSession.sparkContext.broadcast(
+            (held["doc_id"].to_numpy(), q, chosen.flatten().to_numpy(), chosen.value_lengths().to_numpy())
+        )
+        best = index.repartition(n_tasks).mapInArrow(searcher(some), "query long, vec_id long, score double")
+        found = best if found is None else found.unionByName(best)
     each = queries.join(asked.withColumnRenamed("doc_id", "query_id"), "v").select("query_id", F.col("doc_id").alias("query"))
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     top = found.withColumn("_at", F.row_number().over(order)).where(F.col("_at") <= k + 1)

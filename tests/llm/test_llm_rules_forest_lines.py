@@ -117,10 +117,18 @@ def test_forest_edges(spark):
     assert rp_forest.nearest(vectors(spark, []), F.col("doc_id") % 20 == 0).count() == 0
 
 
-def test_forest_recall(spark, monkeypatch):
-    monkeypatch.setattr(rp_forest, "LEAF", 64)
-    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+@pytest.mark.parametrize("sf, small", [("0.01", False), ("0.1", False), ("0.1", True)])
+def test_forest_recall(spark, monkeypatch, sf, small):
+    """As shipped, and with blocks, pieces and lists that a small table fills."""
+    if small:
+        for name, value in (("QUERIES", 40), ("PIECE", 100), ("HELD", 500), ("LEAST_TASKS", 3)):
+            monkeypatch.setattr(rp_forest, name, value)
+    depths = []
+    made = rp_forest.Forest.__init__
+    monkeypatch.setattr(rp_forest.Forest, "__init__", lambda self, sample, depth: depths.append(depth) or made(self, sample, depth))
+    table = spark.read.parquet(f"/root/testdata/sf{sf}/embeddings.parquet")
     got = rp_forest.nearest(table, F.col("doc_id") % 20 == 0).collect()
+    assert depths[0] >= 2
     rows = table.collect()
     x, ids = np.array([r["embedding"] for r in rows], float), np.array([r["vec_id"] for r in rows])
     found, hits, n = defaultdict(set), 0, 0
@@ -132,6 +140,7 @@ def test_forest_recall(spark, monkeypatch):
         true = set(ids[np.lexsort((ids, -score))[:20]].tolist())
         assert len(found[ids[i]]) == 20
         hits, n = hits + len(true & found[ids[i]]), n + 20
+    print("recall", sf, hits / n)
     assert hits / n >= 0.9
 
 
