@@ -37,10 +37,10 @@ from corpusmill.llm.words import rows_of, stored
 SAMPLE = 20_000
 TREES = 4
 # Rows of a leaf, as far as the sample allows trees of this depth.
-LEAF, LEAST_DEPTH = 256, 2
+LEAF, LEAST_DEPTH = 64, 2
 SHARE = 0.25
 # A query reads on until its leaves hold this many rows per result, so a small table is searched as thoroughly as a large one.
-ROWS_PER_RESULT = 16
+ROWS_PER_RESULT = 32
 SEED = 11
 # Queries sent together: with 64 components and 1,024 leaves each, some 80 MB.
 QUERIES = 16_384
@@ -113,11 +113,12 @@ class Best:
     def __init__(self, queries: np.ndarray, k: int):
         self.queries, self.k = queries, k
         self.least = np.full(len(queries), -np.inf)
-        self.held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
-        self.size = 0
+        # Queries, ids, scores, and numbers of rows, which tell rows with one id apart.
+        self.held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)]
+        self.size = self.rows_before = 0
         self.parts: list[list[np.ndarray]] = []
 
-    def add(self, some: np.ndarray, x: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
+    def add(self, some: np.ndarray, x: np.ndarray, rows: np.ndarray) -> None:
         """Scores ``rows`` of ``x`` for ``some`` queries and holds those that may be among the best."""
         for at in range(0, len(some), 256):
             q = some[at : at + 256]
@@ -131,7 +132,7 @@ class Best:
             self.parts.append([q[of], rows[row]])
             self.size += len(of)
 
-    def settle(self, x: np.ndarray, ids: np.ndarray) -> None:
+    def settle(self, x: np.ndarray, ids: np.ndarray, ended: bool) -> None:
         """Reduces what is held of the piece ``x``; a row that several trees offered counts once."""
         if self.parts:
             query, row = (np.concatenate(c) for c in zip(*self.parts))
@@ -142,13 +143,16 @@ class Best:
             for at in range(0, len(query), 1 << 16):
                 part = slice(at, at + (1 << 16))
                 score[part] = (x[row[part]] * self.queries[query[part]]).sum(axis=1)
-            held = [np.concatenate(c) for c in zip(self.held, [query, ids[row], score])]
-            order = np.lexsort((held[1], -held[2], held[0]))
+            held = [np.concatenate(c) for c in zip(self.held, [query, ids[row], score, row + self.rows_before])]
+            order = np.lexsort((held[3], held[1], -held[2], held[0]))
+            same = (np.diff(held[0][order]) == 0) & (np.diff(held[3][order]) == 0)
+            order = order[np.insert(~same, 0, True)]
             rank = np.arange(len(order)) - np.searchsorted(held[0][order], held[0][order])
             self.held = [c[order[rank < self.k]] for c in held]
             last = order[rank == self.k - 1]
             self.least[held[0][last]] = np.maximum(self.least[held[0][last]], held[2][last])
         self.parts, self.size = [], 0
+        self.rows_before += len(x) if ended else 0
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,11 +254,11 @@ def nearest(
                     for leaf, rows in zip(numbers.tolist(), np.split(by_leaf, starts[1:])):
                         low, high = np.searchsorted(chosen, (t * n_nodes + leaf, t * n_nodes + leaf + 1))
                         if high > low:
-                            found.add(asked[low:high], x, ids, rows)
+                            found.add(asked[low:high], x, rows)
                             if found.size > HELD:
-                                found.settle(x, ids)
-                found.settle(x, ids)
-            query, ids, score = found.held
+                                found.settle(x, ids, False)
+                found.settle(x, ids, True)
+            query, ids, score, _ = found.held
             yield pa.RecordBatch.from_arrays([pa.array(query_ids[query]), pa.array(ids), pa.array(score)], names=["query", "vec_id", "score"])
 
         return search
