@@ -47,7 +47,7 @@ def lang_predict_by_join(spark, sf_dir):
 def lang_filter(reverse):
     def query(spark, sf_dir):
         units = lines(spark, sf_dir).drop("lang")
-        return lang.filter_units(units, model(spark, sf_dir), LANGUAGES, WANTED, reverse=reverse, keys=KEYS)
+        return lang.filter_units(units, model(spark, sf_dir), LANGUAGES, WANTED, reverse=reverse)
 
     return query
 

@@ -1,10 +1,9 @@
 """Language filter: a character-trigram classifier.
 
 The model is a table built by grouping: for each trigram and language the add-one smoothed log probability,
-in millionths as integers, so that sums do not depend on any order. A model of checked size travels with the
-tasks: scoring is then a map-only step on batches of units, in batch and stream alike, and nothing as large as
-the trigrams of a corpus is ever shuffled. A larger model is joined to the counted trigrams instead; both ways
-give the same sums.
+in millionths as integers, so that sums do not depend on any order. It is written as sorted files that tasks look trigrams up in
+(``lang_weights``), whatever its size: scoring is a map-only step on batches of units, in batch and stream alike, and nothing as large
+as the trigrams of a corpus is ever shuffled. ``score_by_join`` gives the same sums by a join.
 """
 
 from __future__ import annotations
@@ -18,12 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from corpusmill.functions.text import strip, trigrams_of
+from corpusmill.operators.lang_weights import Remembered, write_weights
 from corpusmill.plans.skew import join_on_counted_key
 
 SCALE = 1_000_000
-# A model of up to this many weights is sent to the tasks (8 bytes per weight and per trigram); a larger one
-# is joined by shuffle.
-MOST_SENT_WEIGHTS = 8_000_000
 
 
 def train_model(labelled: DataFrame, languages: list[str], text: str = "text", lang: str = "lang") -> DataFrame:
@@ -57,25 +54,13 @@ def train_model(labelled: DataFrame, languages: list[str], text: str = "text", l
     )
 
 
-def fits_tasks(model: DataFrame, languages: list[str]) -> bool:
-    return model.count() * (len(languages) + 1) <= MOST_SENT_WEIGHTS
-
-
 def scorer(model: DataFrame, languages: list[str]) -> Callable[[Column], Column]:
     """A column function: text to (lang, score), the most likely language and its probability. Equal
     languages go to the first one listed; a text without a trigram gets the first one at even odds."""
-    if not fits_tasks(model, languages):
-        raise ValueError("the model is too large to send to tasks; use score_by_join")
-    rows = model.collect()
-    known = sorted((_gram_key(r.gram), r.weights) for r in rows if r.gram)
-    unseen = next(r.weights for r in rows if not r.gram)
-    # One key past all trigrams. Its row is for places without a trigram, the last row for unknown ones.
-    keys = np.array([*(k for k, _ in known), np.iinfo(np.int64).max], np.int64)
-    weights = np.array([w for _, w in known] + [[0] * len(languages), unseen], np.int64)
-    sent = model.sparkSession.sparkContext.broadcast((keys, weights))
+    weights = Remembered(write_weights(model, len(languages)))
 
     def score_batch(texts: pa.Array) -> pa.Array:
-        sums = _weight_sums([(t or "").strip() for t in texts.to_pylist()], *sent.value)
+        sums = _weight_sums([(t or "").strip() for t in texts.to_pylist()], weights)
         best = sums.argmax(axis=1)
         odds = np.exp((sums - sums.max(axis=1, keepdims=True)) / SCALE).sum(axis=1)
         names = pa.array(languages).take(pa.array(best))
@@ -86,32 +71,26 @@ def scorer(model: DataFrame, languages: list[str]) -> Callable[[Column], Column]
     )
 
 
-def _gram_key(gram: str) -> int:
-    a, b, c = map(ord, gram)
-    return a << 42 | b << 21 | c
-
-
-def _weight_sums(texts: list[str], keys: np.ndarray, weights: np.ndarray) -> np.ndarray:
+def _weight_sums(texts: list[str], weights: Remembered) -> np.ndarray:
     """One row of summed weights per text."""
     codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.int64)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     ends = np.cumsum(sizes)
     grams = codes[:-2] << 42 | codes[1:-1] << 21 | codes[2:]
-    at = np.searchsorted(keys, grams)
-    row = np.where(keys[at] == grams, at, len(weights) - 1)
-    # Places whose next two characters reach into the following text.
+    # Places whose next two characters reach into the following text are left out.
+    inside = np.ones(len(grams), bool)
     over = (ends[:, None] - np.array([1, 2])).ravel()
-    row[over[(over >= 0) & (over < len(row))]] = len(weights) - 2
-    running = np.concatenate([np.zeros((1, weights.shape[1]), np.int64), np.cumsum(weights[row], axis=0)])
-    return running[np.minimum(ends, len(row))] - running[np.minimum(ends - sizes, len(row))]
+    inside[over[(over >= 0) & (over < len(grams))]] = False
+    counted = np.insert(np.cumsum(inside), 0, 0)
+    summed = np.cumsum(weights.of(grams[inside]), axis=0, dtype=np.int64)
+    running = np.concatenate([np.zeros((1, summed.shape[1]), np.int64), summed])
+    return running[counted[np.minimum(ends, len(grams))]] - running[counted[np.minimum(ends - sizes, len(grams))]]
 
 
 def score(
     units: DataFrame, model: DataFrame, languages: list[str], keys: list[str], text: str = "text"
 ) -> DataFrame:
     """(keys, lang, score) of every unit."""
-    if not fits_tasks(model, languages):
-        return score_by_join(units, model, languages, keys, text)
     scored = units.select(*keys, scorer(model, languages)(F.col(text)).alias("_s"))
     return scored.select(*keys, "_s.lang", "_s.score")
 
@@ -119,7 +98,7 @@ def score(
 def score_by_join(
     units: DataFrame, model: DataFrame, languages: list[str], keys: list[str], text: str = "text"
 ) -> DataFrame:
-    """``score`` for a model of any size: the trigrams are counted per unit in the task they arise in, then
+    """``score`` by shuffles: the trigrams are counted per unit in the task they arise in, then
     looked up in a join, then added up per unit. ``keys`` must be unique together."""
     k = range(len(languages))
     counted = (
@@ -151,13 +130,8 @@ def passes(lang: Column, score: Column, langs: list[str], threshold: float = 0.9
 
 def filter_units(
     units: DataFrame, model: DataFrame, languages: list[str], langs: list[str], threshold: float = 0.9,
-    reverse: bool = False, text: str = "text", keys: list[str] | None = None,
+    reverse: bool = False, text: str = "text",
 ) -> DataFrame:
-    """The units the filter keeps, unchanged; batch or stream. One pass over the units, no shuffle; only a
-    model too large for the tasks needs ``keys`` and a second pass."""
-    if keys and not fits_tasks(model, languages):
-        kept = score_by_join(units, model, languages, keys, text)
-        kept = kept.where(passes(F.col("lang"), F.col("score"), langs, threshold, reverse))
-        return units.join(kept.select(*keys), keys, "left_semi")
+    """The units the filter keeps, unchanged; batch or stream. One pass over the units, no shuffle."""
     scored = units.withColumn("_s", scorer(model, languages)(F.col(text)))
     return scored.where(passes(F.col("_s.lang"), F.col("_s.score"), langs, threshold, reverse)).drop("_s")

@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from corpusmill.operators import lang
+from corpusmill.operators import lang, lang_weights
 from corpusmill.operators.synth import sum_one
 from corpusmill.session import scratch_path
 from corpusmill.streaming.lines import filter_stream, kept_lines, line_stream
@@ -52,15 +52,45 @@ def test_scores(spark, model, scored_by):
         assert got[i].score == pytest.approx(probability, abs=1e-9)
 
 
-def test_large_model_takes_the_join(spark, model, monkeypatch):
+def test_many_small_files_give_the_same(spark, model, monkeypatch):
+    """Files of a few trigrams, and tasks that remember next to none."""
     units = spark.createDataFrame(list(enumerate(PROBES)), "i int, text string")
-    args = (units, model, LANGUAGES)
-    sent = {r.i for r in lang.filter_units(*args, ["en"], 0.9, keys=["i"]).collect()}
-    monkeypatch.setattr(lang, "MOST_SENT_WEIGHTS", 1)
-    joined = {r.i for r in lang.filter_units(*args, ["en"], 0.9, keys=["i"]).collect()}
-    assert sent == joined
-    with pytest.raises(ValueError, match="too large"):
-        lang.scorer(model, LANGUAGES)
+    want = {r.i: (r.lang, r.score) for r in lang.score(units, model, LANGUAGES, ["i"]).collect()}
+    monkeypatch.setattr(lang_weights, "GRAMS_PER_FILE", 7)
+    weights = lang_weights.write_weights(model, len(LANGUAGES))
+    assert len(weights.files) > 5
+    table = {r.gram: list(r.weights) for r in model.collect()}
+    grams = sorted({*table, "zzz", "   ", "日本語"} - {""})
+    got = weights.of(lang_weights.gram_keys(grams)).tolist()
+    assert got == [table.get(g, table[""]) for g in grams]
+    small = lang_weights.Remembered(weights)
+    monkeypatch.setattr(lang_weights, "REMEMBERED", 5)
+    for _ in range(3):
+        assert small.of(lang_weights.gram_keys(grams[::-1])).tolist() == got[::-1]
+    assert {r.i: (r.lang, r.score) for r in lang.score(units, model, LANGUAGES, ["i"]).collect()} == want
+
+
+def test_large_models_in_streams(spark, tmp_path):
+    """Ten million weights: more than was ever sent to tasks."""
+    alphabet = [chr(0x4E00 + i) for i in range(130)]
+    letter = lambda e: F.get(F.array(*map(F.lit, alphabet)), (e % 130).cast("int"))
+    i = F.col("id")
+    gram = F.concat(letter(i), letter(F.floor(i / 130)), letter(F.floor(i / 16900)))
+    weights = F.array(*[-(1_000_000 + (i * k) % 977_777) for k in (1, 2, 3, 5)]).cast("array<bigint>")
+    model = spark.range(130**3).select(gram.alias("gram"), weights.alias("weights"))
+    model = model.unionByName(spark.range(1).select(F.lit("").alias("gram"), F.array(*[F.lit(-9_000_000).cast("long")] * 4).alias("weights")))
+    languages = ["a", "b", "c", "d"]
+    texts = ["".join(alphabet[(k * j) % 130] for j in range(1, 40)) for k in range(1, 60)] + ["plain"]
+    units = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    scored = {r.i: (r.lang, r.score) for r in lang.score(units, model, languages, ["i"]).collect()}
+    joined = {r.i: (r.lang, r.score) for r in lang.score_by_join(units, model, languages, ["i"]).collect()}
+    assert scored.keys() == joined.keys()
+    assert all(scored[k][0] == joined[k][0] and abs(scored[k][1] - joined[k][1]) < 1e-9 for k in scored)
+    folder, output = f"{tmp_path}/in", f"{tmp_path}/out"
+    units.select("text").write.text(folder)
+    filter_stream(line_stream(spark, folder), model, languages, ["a", "b"], output, f"{tmp_path}/at", 0.5).awaitTermination()
+    want = sorted(texts[k] for k, (name, score) in scored.items() if name in "ab" and score > 0.5)
+    assert sorted(r.text for r in kept_lines(spark, output).collect()) == want and want
 
 
 def test_filter_is_strict_and_reverse_is_the_complement(spark, model):
