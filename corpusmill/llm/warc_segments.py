@@ -11,10 +11,10 @@ numbers, checked against the total length and freed from chunked transfer framin
 
 Of records with equal payloads the one with the largest id is stored and the others are revisits, whose
 HTTP head states the length of the payload. Which is which is decided on digests alone; payloads are not
-shuffled for it.
+shuffled for it. A response is named after its id and digest, so a revisit can name the response that it stands for.
 
 Defined cases: a null payload is empty; a null address is left out of the record; rows with one id and equal
-payloads are all stored as responses if the id is the largest; an empty table writes no record; a record with missing segments, a
+payloads are all stored as responses if the id is the largest, some of one name, and come back as many records; an empty table writes no record; a record with missing segments, a
 wrong total length, framing or digest is returned with a ``fault`` and without payload.
 """
 
@@ -35,9 +35,12 @@ from corpusmill.llm.words import rows_of, stored
 from corpusmill.session import scratch_path
 from corpusmill.sources.filesystem import filesystem_of
 
-SEGMENT_BYTES = 32 * 1024
+# A fifth of usual pages is longer.
+SEGMENT_BYTES = 4 * 1024
 ARCHIVE_BYTES = 16 << 20
 CHUNK_BYTES = 4096
+# Names of responses that a task remembers, of some 100 bytes.
+KNOWN_NAMES = 100_000
 # (id, id) pairs of 16 bytes: up to this many revisits are sent to the tasks, more are joined by shuffle.
 MOST_SENT_REVISITS = 2_000_000
 RECORDS = (
@@ -46,7 +49,7 @@ RECORDS = (
 )
 PAYLOADS = (
     "record_id string, record_type string, refers_to string, payload_bytes long, payload_digest string, "
-    "fault string, payload binary"
+    "fault string, segments long, payload binary"
 )
 
 
@@ -85,13 +88,21 @@ def record(fields: list[tuple[str, str | None]], block: bytes) -> bytes:
     return b"WARC/1.1\r\n%b%b: %d\r\n\r\n%b\r\n\r\n" % (head.encode(), b"Content-Length", len(block), block)
 
 
+# Fixed value: why a revisit has no payload.
+SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+
+
+def response_name(id: int, payload: bytes) -> str:
+    return f"<urn:page:{id}:{payload_digest(payload)}>"
+
+
 def page_records(record_id: str, url: str | None, payload: bytes, refers_to: str | None, segment: int) -> Iterator[bytes]:
     """The records of one page: a revisit, a response, or a response with continuations."""
     uri = None if url is None else "".join(c if c > " " else f"%{ord(c):02X}" for c in url)
     fields = [("WARC-Date", "2000-01-01T00:00:00Z"), ("WARC-Target-URI", uri), ("WARC-Payload-Digest", f"sha1:{payload_digest(payload)}")]
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
     if refers_to is not None:
-        own = [("WARC-Type", "revisit"), ("WARC-Record-ID", record_id), ("WARC-Refers-To", refers_to)]
+        own = [("WARC-Type", "revisit"), ("WARC-Record-ID", record_id), ("WARC-Refers-To", refers_to), ("WARC-Profile", SAME_PAYLOAD)]
         yield record(own + fields, http + b"Content-Length: %d\r\n\r\n" % len(payload))
         return
     block = http + b"Transfer-Encoding: chunked\r\n\r\n" + framed(payload)
@@ -100,7 +111,7 @@ def page_records(record_id: str, url: str | None, payload: bytes, refers_to: str
         first = number == 1
         own = [
             ("WARC-Type", "response" if first else "continuation"),
-            ("WARC-Record-ID", record_id if first else f"{record_id}/{number}"),
+            ("WARC-Record-ID", record_id if first else f"{record_id[:-1]}:{number}>"),
             ("WARC-Segment-Number", str(number) if len(cuts) > 1 else None),
             ("WARC-Segment-Origin-ID", None if first else record_id),
             ("WARC-Segment-Total-Length", str(len(block)) if number == len(cuts) > 1 else None),
@@ -128,14 +139,22 @@ def written(pages: DataFrame, folder: str, segment: int = SEGMENT_BYTES, archive
         fs, root = filesystem_of(folder)
         fs.create_dir(root, recursive=True)
         part, out, done, path, n, size, row = TaskContext.get().partitionId(), None, [], "", 0, 0, 0
+        known: set[str] = set()
         for batch in batches:
             for doc_id, url, payload, refers_to in zip(*batch.columns):
                 row += 1
-                link = refers_to.as_py()
-                name = f"<urn:page:{doc_id.as_py()}:{part}:{row}>"
-                for data in page_records(
-                    name, url.as_py(), payload.as_py() or b"", None if link is None else f"<urn:page:{link}>", segment
-                ):
+                link, body = refers_to.as_py(), payload.as_py() or b""
+                # Nothing refers to a revisit, so the place where it is written is name enough.
+                name = f"<urn:page:{doc_id.as_py()}:{part}:{row}>" if link is not None else response_name(doc_id.as_py(), body)
+                # Of repeated rows a task gives one the name that revisits use, so no name gathers all of them.
+                if name in known:
+                    name = f"{name[:-1]}:{part}:{row}>"
+                elif link is None:
+                    if len(known) >= KNOWN_NAMES:
+                        known.clear()
+                    known.add(name)
+                target = None if link is None else response_name(link, body)
+                for data in page_records(name, url.as_py(), body, target, segment):
                     if out is None:
                         path = f"{root}/part-{part:05d}-{len(done):05d}-{uuid.uuid4().hex}.warc.gz"
                         out, n, size = fs.open_output_stream(path, compression=None), 0, 0
@@ -234,10 +253,16 @@ def restored(parts: list[dict]) -> tuple:
     return (None, digest, "digest", None) if digest and digest != own else (len(payload), own, None, payload)
 
 
+def same_named(parts: list[dict]) -> list[list[dict]]:
+    """The records of one name, which are equal, from their segments in order."""
+    n = sum(p["segment"] == parts[0]["segment"] for p in parts)
+    return [parts[i::n] for i in range(n)]
+
+
 def reassembled(records: DataFrame, with_payload: bool = True) -> DataFrame:
-    """One row per record: (record_id, record_type, refers_to, payload_bytes, payload_digest, fault, payload)."""
+    """One row per record: (record_id, record_type, refers_to, payload_bytes, payload_digest, fault, segments, payload)."""
     names = [c.split()[0] for c in PAYLOADS.split(", ")]
-    types = [pa.string()] * 3 + [pa.int64(), pa.string(), pa.string(), pa.binary()]
+    types = [pa.string()] * 3 + [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
     part = F.struct("segment", "record_type", "refers_to", "digest", "total_length", "block")
     # A bare list of one record's segments; they are put in order where they are read.
     groups = records.groupBy("origin_id").agg(F.collect_list(part).alias("parts"))
@@ -246,10 +271,12 @@ def reassembled(records: DataFrame, with_payload: bool = True) -> DataFrame:
         for batch in batches:
             rows = []
             for origin, scalars in zip(batch.column(0).to_pylist(), batch.column(1)):
-                parts = sorted(scalars.as_py(), key=lambda p: p["segment"])
-                size, digest, fault, payload = restored(parts)
-                first = parts[0]
-                rows.append((origin, first["record_type"], first["refers_to"], size, digest, fault, payload if with_payload else None))
+                for parts in same_named(sorted(scalars.as_py(), key=lambda p: p["segment"])):
+                    size, digest, fault, payload = restored(parts)
+                    first = parts[0]
+                    rows.append(
+                        (origin, first["record_type"], first["refers_to"], size, digest, fault, len(parts), payload if with_payload else None)
+                    )
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
@@ -275,5 +302,6 @@ def op7_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
         "payload_digest",
         "record_type",
         F.when(F.col("refers_to").isNotNull(), number("refers_to").cast("long")).alias("refers_to"),
+        "segments",
         "fault",
     )

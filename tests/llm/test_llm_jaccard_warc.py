@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import random
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -122,13 +123,19 @@ def pages(spark, rows):
 def test_warc_round_trip(spark):
     rng = random.Random(4)
     bodies = [None, "", "é" * 5000, "a\r\n0\r\n\r\nb", "WARC/1.1\r\n\r\n"] + ["".join(rng.choices("ab\n é", k=rng.randint(0, 9000))) for _ in range(40)]
-    rows = [(i, f"http://x/{i} \n", b) for i, b in enumerate(bodies + bodies[::2])] + [(None, None, "none"), (500, None, bodies[9]), (500, None, bodies[9])]
+    rows = [(i, f"http://x/{i} \n", b) for i, b in enumerate(bodies + bodies[::2])] + [(None, None, "none"), (500, None, bodies[9]), (500, None, bodies[9])] + [(700, None, "é" * 3000)] * 30
     folder = scratch_path(spark, "warc-test")
     archives = warc_segments.pages_to_archives(pages(spark, rows), folder, segment=1000, archive=3000)
     assert archives.count() > 5
     records = warc_segments.read_records(archives, folder)
     assert records.where("record_type = 'continuation'").count() > 50
+    # Every revisit names a response that is there, continuations name a first segment.
+    named = {r.record_id: r.record_type for r in records.collect()}
+    assert all(re.fullmatch(r"<urn:page:[^<>]+>", name) for name in named)
+    assert {named[r.refers_to] for r in records.where("refers_to IS NOT NULL").collect()} == {"response"}
+    assert {named[r.origin_id] for r in records.where("record_type = 'continuation'").collect()} == {"response"}
     got = warc_segments.reassembled(records).collect()
+    assert sum(r["segments"] > 1 for r in got) > 10 and min(r["segments"] for r in got) == 1
     last = {}
     for i, _, b in rows:
         last[b or ""] = max(last.get(b or "", -1), -1 if i is None else i)
@@ -146,6 +153,15 @@ def test_warc_round_trip(spark):
     assert warc_segments.pages_to_archives(pages(spark, []), scratch_path(spark, "w")).count() == 0
 
 
+def test_warc_query(spark):
+    """At the shipped sizes a good part of the pages is segmented, and every page comes back."""
+    got = warc_segments.op7_segments(spark, "/root/testdata/sf0.01").collect()
+    assert len(got) == 250 and not any(r["fault"] for r in got)
+    assert sum(r["segments"] > 1 for r in got) >= 25
+    sizes = {r.page_id: len((r.html or "").encode()) for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()}
+    assert {r["page_id"]: r["payload_bytes"] for r in got} == sizes
+
+
 def test_warc_faults():
     body = b"hello" * 50
     block = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n" + warc_segments.framed(body, 64)
