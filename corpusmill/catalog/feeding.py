@@ -11,7 +11,7 @@ from corpusmill.operators.records import checked_fixed
 from corpusmill.plans.ordinal import with_running
 
 KEYS = ["conv_id", "turn"]
-PAD_LENGTH, PACK_LENGTH, BATCH, EPOCHS, SEED, TAKE = 16, 64, 8, 3, 1337, 100
+PAD_LENGTH, PACK_LENGTH, BATCH, EPOCHS, SEED, TAKE, BUFFER = 16, 64, 8, 3, 1337, 100, 50
 SHARD_BYTES, FILES_PER_CHUNK, CYCLE = 100_000, 7, 4
 
 
@@ -48,6 +48,14 @@ def interleave(spark, sf_dir):
     return feed.interleaved(table(spark, sf_dir, "documents"), "source", ["doc_id"], CYCLE)
 
 
+def interleave_slots(spark, sf_dir):
+    return feed.interleaved_slots(table(spark, sf_dir, "documents"), "source", ["doc_id"], CYCLE)
+
+
+def shuffle_buffer(spark, sf_dir):
+    return feed.buffer_shuffled(sequences(spark, sf_dir), KEYS, BUFFER, SEED)
+
+
 def document_sizes(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.octet_length("text").cast("bigint").alias("bytes"))
 
@@ -109,6 +117,8 @@ QUERIES = {
     "take_n": lambda spark, sf_dir: joined(feed.take(sequences(spark, sf_dir), KEYS, TAKE), "target"),
     "sample_replace": sample_replace,
     "interleave": interleave,
+    "interleave_slots": interleave_slots,
+    "shuffle_buffer": shuffle_buffer,
     "count_chunks": lambda spark, sf_dir: shards.count_chunks(
         table(spark, sf_dir, "documents"), ["doc_id"], FILES_PER_CHUNK
     ),
@@ -195,6 +205,22 @@ ORACLES = {
                row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS row_in_file,
                dense_rank() OVER (ORDER BY source) - 1 AS file_slot
         FROM documents""",
+    "interleave_slots": f"""
+        WITH RECURSIVE f AS (SELECT source, count(*) AS n, row_number() OVER (ORDER BY source) AS o FROM documents GROUP BY source),
+        s AS (
+            SELECT CAST(0 AS BIGINT) AS o, CAST(NULL AS VARCHAR) AS source, CAST(0 AS BIGINT) AS begin_at, CAST(0 AS BIGINT) AS slot,
+                   [{", ".join(["CAST(0 AS BIGINT)"] * CYCLE)}] AS free
+            UNION ALL
+            SELECT f.o, f.source, list_min(free), CAST(list_position(free, list_min(free)) AS BIGINT) - 1,
+                   list_transform(free, lambda x, i: CASE WHEN i = list_position(free, list_min(free)) THEN x + f.n + 1 ELSE x END)
+            FROM s JOIN f ON f.o = s.o + 1)
+        SELECT source, doc_id, begin_at + row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS turn, CAST(slot AS INTEGER) AS slot
+        FROM documents JOIN s USING (source)""",
+    "shuffle_buffer": f"""
+        WITH p AS (SELECT conv_id, turn, row_number() OVER (ORDER BY conv_id, turn) - 1 AS place FROM conversations),
+        k AS (
+            SELECT *, place + CAST(concat('0x', substr(md5(concat_ws('-', {SEED}, place)), 1, 15)) AS BIGINT) % {BUFFER} AS key FROM p)
+        SELECT conv_id, turn, row_number() OVER (ORDER BY key, place) - 1 AS position FROM k""",
     "count_chunks": f"""
         SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // {FILES_PER_CHUNK} AS chunk FROM documents""",
     "size_shards": f"WITH RECURSIVE {SHARDS_CTE} SELECT doc_id, shard FROM f",

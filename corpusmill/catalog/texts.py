@@ -11,7 +11,7 @@ from corpusmill.plans.parallel import spread
 from corpusmill.operators.units import split_units
 from corpusmill.session import scratch_path
 from corpusmill.sources.paths import files_at
-from corpusmill.sources.textfiles import read_files, write_text
+from corpusmill.sources.textfiles import file_fingerprints, read_files, write_text
 
 ENDS = r"\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}"
 LINES_SQL = rf"list_filter(regexp_extract_all(text, '[^{ENDS}]*(?:\r\n|[{ENDS}]|\z)'), lambda x: x <> '')"
@@ -46,6 +46,15 @@ def lines_through_files(compression):
     return query
 
 
+def dedup_files(spark, sf_dir):
+    """Documents as files, one each, listed and compared by their bytes: each content and how many files have it."""
+    folder = scratch_path(spark, "files")
+    texts = table(spark, sf_dir, "documents").select(F.col("text").alias("value"))
+    texts.write.option("maxRecordsPerFile", 1).text(folder)
+    report = dedup.hash_groups(file_fingerprints(spread(files_at(spark, folder))))
+    return hex_hash(report).select("hash", F.col("n_rows").alias("n"))
+
+
 def clean_ascii(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", collapse_non_ascii(F.col("text")).alias("text"))
 
@@ -108,6 +117,7 @@ QUERIES = {
     "units_passage": units("passage"),
     "text_files_lines": lines_through_files("none"),
     "gzip_files_lines": lines_through_files("gzip"),
+    "dedup_files": dedup_files,
     "clean_ascii": clean_ascii,
     "clean_nfkc": clean_nfkc,
     "clean_totals": lambda spark, sf_dir: clean.clean_totals(listed_by_language(spark, sf_dir)),
@@ -127,6 +137,7 @@ QUERIES = {
 PRINTS_SQL = f"SELECT doc_id, {PATH_SQL} AS path, sha256(text) AS hash FROM documents"
 
 ORACLES = {
+    "dedup_files": "SELECT sha256(concat(text, chr(10))) AS hash, count(*) AS n FROM documents GROUP BY 1",
     "unique_clean_lines": f"""
         WITH cleaned AS (SELECT doc_id, source, {ASCII_SQL} AS text FROM documents),
         first_of AS (SELECT min(doc_id) AS doc_id FROM cleaned GROUP BY text),

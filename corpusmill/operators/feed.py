@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from heapq import heapreplace
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from corpusmill.functions.numbers import seeded_draw, seeded_key
 from corpusmill.functions.sequences import PAD, append_eos, trim_and_pad
 from corpusmill.plans.greedy import cut_before_overflow
 from corpusmill.plans.ordinal import with_running
 from corpusmill.plans.skew import join_on_counted_key
+from corpusmill.session import cut_lineage
 
 
 def with_eos(examples: DataFrame, ids: str = "target") -> DataFrame:
@@ -153,3 +159,45 @@ def interleaved(rows: DataFrame, file: str, order: list[str], cycle: int = 4) ->
         (F.col("_ordinal") - F.col("first")).alias("row_in_file"),
         "file_slot",
     ).orderBy("cycle_no", "row_in_file", "file_slot")
+
+
+def interleaved_slots(rows: DataFrame, file: str, order: list[str], cycle: int = 4) -> DataFrame:
+    """The order of a reader that takes one row from each of ``cycle`` open files in turn: adds ``turn`` and ``slot`` and sorts by them.
+
+    A file that ends leaves its slot empty for one turn; then the slot opens the next file. Which slot and turn a file
+    begins at follows from the numbers of rows of the files before it alone, so one task schedules (file, rows); the rows themselves are numbered
+    by many tasks, whatever the share of one file."""
+    placed = with_running(rows.select(file, *order), [file, *order])
+    files = placed.groupBy(file).agg(F.min("_ordinal").alias("first"), F.count(F.lit(1)).alias("n_rows"))
+
+    def schedule(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free = [(0, slot) for slot in range(cycle)]
+        for batch in batches:
+            begins, slots = [], []
+            for n in batch["n_rows"].to_pylist():
+                turn, slot = free[0]
+                heapreplace(free, (turn + n + 1, slot))
+                begins.append(turn)
+                slots.append(slot)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(begins, pa.int64()), pa.array(slots, pa.int32())], names=[*batch.schema.names, "begin", "slot"]
+            )
+
+    out = StructType([*files.schema.fields, StructField("begin", LongType()), StructField("slot", IntegerType())])
+    # One row per file, 8 numbers at most: what a single task reads is the list of files, not their rows.
+    scheduled = cut_lineage(files.orderBy(file).coalesce(1).mapInArrow(schedule, out))
+    keyed = join_on_counted_key(placed, scheduled, file, "_ordinal")
+    turn = F.col("begin") + F.col("_ordinal") - F.col("first")
+    return keyed.select(file, *order, turn.alias("turn"), "slot").orderBy("turn", "slot")
+
+
+def buffer_shuffled(examples: DataFrame, order: list[str], buffer: int, seed: int) -> DataFrame:
+    """(order columns, position): a shuffle that moves no example by ``buffer`` places or more.
+
+    An example is put off by a seeded draw below ``buffer`` and the positions are those in the order of place plus draw. Only keys are moved, and they
+    only move to neighbouring ranges; the rows are read in the order of the positions."""
+    if buffer < 1:
+        raise ValueError("a buffer holds one example at least")
+    placed = with_running(examples.select(*order), order).withColumnRenamed("_ordinal", "_place")
+    drawn = placed.withColumn("_key", F.col("_place") + F.pmod(seeded_draw(seed, F.col("_place")), F.lit(buffer)))
+    return with_running(drawn, ["_key", "_place"]).select(*order, F.col("_ordinal").alias("position"))

@@ -10,6 +10,7 @@ from pyspark.sql.types import LongType
 
 from corpusmill.plans.greedy import cut_when_reached
 from corpusmill.plans.ordinal import with_running
+from corpusmill.session import cut_lineage
 
 # Record file suffixes by compression.
 SUFFIXES = {"none": "tfrecord", "gz": "tfrecord.gz", "gzip": "tfrecord.gz",
@@ -27,36 +28,48 @@ def size_shards(
     return cut_when_reached(items, limit, order, fanout).select(*order, F.col("chunk").alias("shard"))
 
 
-# Shard bounds sent to the tasks: 24 bytes each.
+# Ranges of keys sent to the tasks: 24 bytes each.
 MOST_SENT_SHARDS = 5_000_000
 
 
 def with_shard(rows: DataFrame, plan: DataFrame, key: str) -> DataFrame:
     """Adds the ``shard`` of the plan to wide rows with the same BIGINT ``key`` that ordered the plan.
 
-    A shard is a range of keys, so its first and last key say which rows it holds: the rows look their shard up
-    in the sorted bounds, without a shuffle. A plan of too many shards is joined. Rows with a null key or a key
-    outside every shard are dropped. The plan is expected to know every other key: the lookup would
-    put an unknown key between two known ones of a shard into it, the join would drop it."""
-    bounds = plan.where(F.col(key).isNotNull()).groupBy("shard").agg(F.min(key).alias("first"), F.max(key).alias("last"))
-    if (plan.agg(F.max("shard")).first()[0] or 0) >= MOST_SENT_SHARDS:
-        return rows.join(plan, key)
-    table = bounds.orderBy("first").toArrow()
+    A shard is a range of keys, from its first to its last one, and a row belongs to the shard whose range its key lies in. Rows with
+    a null key or a key outside every range are dropped. The rows look their shard up in the sorted ranges, without a
+    shuffle. Where there are too many ranges to send, neighbouring ones are looked up together, and which of these few it is
+    is decided in a join on their common number."""
+    known = plan.where(F.col(key).isNotNull())
+    bounds = known.groupBy("shard").agg(F.min(key).alias("_first"), F.max(key).alias("_last"))
+    n = (plan.agg(F.max("shard")).first()[0] or 0) + 1
+    if n <= MOST_SENT_SHARDS:
+        return _looked_up(rows, bounds, key, "shard").where("shard IS NOT NULL")
+    together = -(-n // MOST_SENT_SHARDS)
+    bounds = cut_lineage(bounds.withColumn("_group", F.expr(f"shard div {together}")))
+    groups = bounds.groupBy("_group").agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"))
+    grouped = _looked_up(rows, groups, key, "_group")
+    inside = (F.col(key) >= F.col("_first")) & (F.col(key) <= F.col("_last"))
+    return grouped.join(bounds, "_group").where(inside).drop("_group", "_first", "_last")
+
+
+def _looked_up(rows: DataFrame, bounds: DataFrame, key: str, name: str) -> DataFrame:
+    """Adds the ``name`` of the range (_first, _last) that the key lies in, null if there is none."""
+    table = bounds.orderBy("_first").toArrow()
     sent = rows.sparkSession.sparkContext.broadcast(
-        tuple(table[c].to_numpy().astype(np.int64) for c in ("first", "last", "shard"))
+        tuple(table[c].to_numpy().astype(np.int64) for c in ("_first", "_last", name))
     )
 
     def lookup(keys: pa.Array) -> pa.Array:
-        first, last, shard = sent.value
+        first, last, number = sent.value
         if len(first) == 0:
             return pa.nulls(len(keys), pa.int64())
         known = keys.is_valid().to_numpy(zero_copy_only=False)
         values = keys.fill_null(0).to_numpy(zero_copy_only=False)
         at = np.searchsorted(first, values, side="right") - 1
         inside = known & (at >= 0) & (values <= last[at])
-        return pa.array(shard[at], pa.int64(), mask=~inside)
+        return pa.array(number[at], pa.int64(), mask=~inside)
 
-    return rows.withColumn("shard", F.arrow_udf(lookup, LongType())(F.col(key))).where("shard IS NOT NULL")
+    return rows.withColumn(name, F.arrow_udf(lookup, LongType())(F.col(key)))
 
 
 def count_chunks(files: DataFrame, order: list[str], n: int) -> DataFrame:
@@ -81,7 +94,7 @@ def compression_of(paths: DataFrame) -> DataFrame:
 
 def require_one_compression(paths: DataFrame) -> DataFrame:
     """``compression_of`` that fails the job on a mix."""
-    error = F.raise_error(F.lit("invalid mix of gz and non gz records")).cast("string")
+    error = F.raise_error(F.lit("some record files end in gz and some do not")).cast("string")
     return compression_of(paths).select(
         F.when(F.col("compression") == "INVALID", error).otherwise(F.col("compression")).alias("compression")
     )

@@ -17,7 +17,7 @@ def check_supported(by: str, extensions: list[str]) -> None:
     bad = [ext for ext in extensions if ext not in SUPPORTED.get(by, ())]
     if by not in SUPPORTED or bad:
         pairs = ", ".join(f"{s}:{e}" for s, exts in SUPPORTED.items() for e in exts)
-        raise ValueError(f"unsupported {by}:{','.join(bad) or '*'}; supported are {pairs}")
+        raise ValueError(f"nothing reads {', '.join(bad) or 'texts'} by {by}; what can be read is {pairs}")
 
 
 def pieces(text: Column, by: str) -> Column:

@@ -90,7 +90,7 @@ def list_files(location: str) -> list[str]:
             if i.type == fs.FileType.File and not i.base_name.startswith(("_", "."))
         ]
     if not found:
-        raise ValueError(f"no matching files found: {location}")
+        raise ValueError(f"there are no record files at {location}")
     return found
 
 

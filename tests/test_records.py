@@ -97,7 +97,7 @@ def test_seq2seq_and_fixed(spark):
     records.write_seq2seq(pairs, location)
     back = records.read_seq2seq(spark, location)
     assert back.exceptAll(pairs).isEmpty() and back.count() == 8
-    with pytest.raises(Exception, match="no matching files"):
+    with pytest.raises(Exception, match="no record files"):
         records.read_seq2seq(spark, location + "-missing").collect()
 
     rows = spark.createDataFrame([([1, 2, 3, 4, 5, 6], [6, 5, 4, 3, 2, 1])], "tokens array<bigint>, idx array<bigint>")

@@ -58,7 +58,7 @@ def test_split_units(edges):
 def test_unsupported_strategies():
     check_supported("line", [".txt", ".gz"])
     for by, extensions in [("passage", [".gz"]), ("file", [".zst"]), ("page", [])]:
-        with pytest.raises(ValueError, match="supported are"):
+        with pytest.raises(ValueError, match="what can be read is"):
             check_supported(by, extensions)
 
 
