@@ -94,6 +94,23 @@ def test_rules_keep_good_and_reject_junk(spark):
     assert kept.columns == docs.columns and kept.count() == rules.quality(docs).where("kept").count()
 
 
+def test_rules_leave_other_languages_alone(spark):
+    """Languages without listed words are compared with their own characters, those without a reference not at all."""
+    rng = random.Random(3)
+
+    def text(letters, n):
+        return " ".join("".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(n))
+
+    russian, greek, chinese = "оеаинтсрвлкмдпуяыьгзбчй", "αβγδεζηθικλμνξοπρστυφχψω", "的一是不了人我在有他这中大来上国"
+    rows = [(10_000 + i, text(russian, 150), "ru") for i in range(40)] + [(20_001, text(greek, 150), "el"), (20_002, text(chinese, 150), None)]
+    rows += [(30_000, text("0123456789#$%", 150), "ru"), (30_001, text(russian, 150), "en"), (30_002, text(russian, 5), "ru")]
+    docs = given(spark).select("doc_id", "text", "lang").unionByName(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    kept = {r["doc_id"]: r["kept"] for r in rules.quality(docs).select("_doc.doc_id", "kept").where("doc_id >= 10000").collect()}
+    assert all(kept[i] for i, _, _ in rows[:42])
+    # What is far from all references goes; Cyrillic text is near one now, whatever it is labelled.
+    assert not kept[30_000] and kept[30_001] and not kept[30_002]
+
+
 def vectors(spark, rows):
     return spark.createDataFrame([(i, v, "x", 0) for i, v in rows], "vec_id long, embedding array<float>, leaf string, rank int")
 
