@@ -36,7 +36,8 @@ def pack_placement(
     next row. Over-long examples count with ``length``, null ones are empty and placed nowhere. Works on lengths only, never on the ids.
     """
     sizes = examples.select(*order, F.least(F.coalesce(F.size(ids), F.lit(0)), F.lit(length)).cast("bigint").alias("_size"))
-    items = with_running(sizes.where("_size > 0"), order, "_size")
+    # Range partitioning reads its input twice: the lengths are written first, as the ids may be costly to make.
+    items = with_running(cut_lineage(sizes.where("_size > 0")), order, "_size")
     placed = cut_before_overflow(items, length, [*order, "_start", "_size"], fanout)
     return placed.select(
         *order,

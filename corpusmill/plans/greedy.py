@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from corpusmill.plans.skew import join_on_counted_key
 from corpusmill.session import cut_lineage
 
 # A block spans about this many items, which is what one task holds.
@@ -58,8 +59,11 @@ def cut_before_overflow(
 def _cut(
     items: DataFrame, limit: int, keys: list[str], next_cut: Callable, fanout: int | None
 ) -> DataFrame:
-    """(keys, chunk, chunk_start) for every item."""
-    items = items.select(*dict.fromkeys([*keys, "_start", "_size"]))
+    """(keys, chunk, chunk_start) for every item.
+
+    Items of size 0 decide no cut, and any number of them may share a position. One per position goes through the blocks, the others
+    take its chunk."""
+    items = cut_lineage(items.select(*dict.fromkeys([*keys, "_start", "_size"])))
     stats = items.agg(F.count(F.lit(1)).alias("n"), F.sum("_size").alias("total")).first()
     total = int(stats["total"] or 0)
     if total == 0:
@@ -70,10 +74,13 @@ def _cut(
     while spans[-1] <= total:
         spans.append(spans[-1] * fanout)
 
+    empty = items.where("_size = 0")
+    shared = empty.groupBy("_start").agg(F.count(F.lit(1)).alias("n_rows"), F.lit(0).cast("bigint").alias("_size"))
+    every, items = items, items.where("_size > 0").unionByName(shared, allowMissingColumns=True)
     if len(spans) == 1:
         # One block holds everything: the walk enters it at 0 and nothing needs composing.
         walk = items.sparkSession.createDataFrame([(0, 0, 0, 0, 0)], _WALK)
-        return _assign(items, keys, walk, spans[0], next_cut, total)
+        return _with_empty(_assign(items, [*every.columns, "n_rows"], walk, spans[0], next_cut, total), empty, keys)
     jumps = [cut_lineage(_block_jumps(items, spans[0], limit, next_cut, total))]
     for span in spans[1:]:
         jumps.append(cut_lineage(_compose(jumps[-1], span, limit)))
@@ -81,7 +88,18 @@ def _cut(
     walk = jumps[-1].where("at = 0").select("at", "to", "hops", "last", F.lit(0).cast("bigint").alias("chunk"))
     for level in range(len(spans) - 1, 0, -1):
         walk = cut_lineage(_follow(jumps[level - 1], walk, spans[level]))
-    return _assign(items, keys, walk, spans[0], next_cut, total)
+    return _with_empty(_assign(items, [*every.columns, "n_rows"], walk, spans[0], next_cut, total), empty, keys)
+
+
+def _with_empty(placed: DataFrame, empty: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, chunk, chunk_start) of the items that went through the blocks, and of all items of size 0."""
+    columns = [*keys, "chunk", "chunk_start"]
+    sized = placed.where("n_rows IS NULL").select(*columns)
+    if empty.isEmpty():
+        return sized
+    positions = placed.where("n_rows IS NOT NULL").select("_start", "n_rows", "chunk", "chunk_start")
+    spread = [k for k in keys if k not in ("_start", "_size")] or ["_start"]
+    return sized.unionByName(join_on_counted_key(empty, cut_lineage(positions), "_start", spread).select(*columns))
 
 
 def _block_of(column: str, span: int) -> Column:

@@ -5,6 +5,7 @@ import random
 import pytest
 
 from corpusmill.operators import shards
+from corpusmill.plans import greedy
 from corpusmill.operators.feed import pack_placement, pack_rows
 from corpusmill.operators.shards import count_chunks, size_shards
 from corpusmill.plans.ordinal import with_running
@@ -119,3 +120,22 @@ def test_rows_outside_the_plan_get_no_shard(spark, monkeypatch):
 def test_null_sizes_count_as_nothing(spark):
     files = spark.createDataFrame([(0, 5), (1, None), (2, 5), (3, None), (4, 1)], "k long, n long")
     assert sorted(map(tuple, shards.size_shards(files, ["k"], "n", 10).collect())) == [(0, 0), (1, 0), (2, 0), (3, 1), (4, 1)]
+
+
+@pytest.mark.parametrize("limit", [10, 37])
+def test_many_empty_files_share_positions(spark, monkeypatch, limit):
+    """Files without a byte at the beginning, in between and at the end go through no block, and land where a fold puts them."""
+    sizes = [0] * 3000 + [4, 0, 0, 6] * 5 + [0] * 9000 + [7] * 8 + [3, 0, 10] + [0] * 3000
+    seen = []
+    assign = greedy._assign
+    monkeypatch.setattr(greedy, "_assign", lambda items, *more: seen.append(items.count()) or assign(items, *more))
+    for fanout in (None, 2):
+        files = spark.createDataFrame(list(enumerate(sizes)), "k long, n long").repartition(5)
+        got = {r.k: r.shard for r in shards.size_shards(files, ["k"], "n", limit, fanout).collect()}
+        shard = held = 0
+        for k, n in enumerate(sizes):
+            assert got[k] == shard, (k, limit, fanout)
+            held += n
+            if held >= limit:
+                shard, held = shard + 1, 0
+    assert max(seen) <= 2 * sum(n > 0 for n in sizes) + 1
