@@ -42,7 +42,9 @@ RECORD_SUFFIXES = {"none": "tfrecord", "gz": "tfrecord.gz", "gzip": "tfrecord.gz
                    "lz": "tfrecord.lz", "zlib": "tfrecord.lz"}
 FIRST_FIELD, SECOND_FIELD, THIRD_FIELD = b"\x0a", b"\x12", b"\x1a"
 
-_BATCH_BYTES = 8 << 20
+# Payload that a task decodes at a time, Arrow data that it encodes at a time, and bytes that it reads at a time: messages
+# take many times the room of their varints.
+_BATCH_BYTES, _ENCODED_BYTES = 1 << 20, 4 << 20
 _READ_BYTES = 1 << 20
 
 
@@ -211,7 +213,8 @@ class _Writer(DataSourceArrowWriter):
                     staged = f"{staging}/{uuid.uuid4().hex}"
                     files.append((staged, final))
                     out, current = _Compressed(filesystem.open_output_stream(staged, compression=None), self.compression), shard
-                out.write(frame_records(encode_examples(rows)))
+                for some in _in_pieces(rows):
+                    out.write(frame_records(encode_examples(some)))
         if out is not None:
             out.close()
         return _Written(files)
@@ -247,6 +250,16 @@ class _Writer(DataSourceArrowWriter):
             filesystem.delete_dir(staging)
 
 
+def _in_pieces(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Halves of halves of the rows, in order, until each is one row or small."""
+    if rows.num_rows <= 1 or rows.get_total_buffer_size() <= _ENCODED_BYTES or rows.nbytes <= _ENCODED_BYTES:
+        yield rows
+        return
+    half = rows.num_rows // 2
+    yield from _in_pieces(rows.slice(0, half))
+    yield from _in_pieces(rows.slice(half))
+
+
 class _Compressed:
     def __init__(self, raw, compression: str):
         self.raw = raw

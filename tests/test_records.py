@@ -4,6 +4,7 @@ import os
 import struct
 from decimal import Decimal
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from corpusmill.functions.crc32c import crc32c, masked_crc32c
 from corpusmill.operators import records
 from corpusmill.operators.shards import observed_totals
 from corpusmill.session import scratch_path
+from corpusmill.sources import tfrecord
 from corpusmill.sources.tfrecord import list_files, write_records
 
 
@@ -37,6 +39,16 @@ ROWS = [
     (2, 1, Decimal(2**63), "x" * 5000, list(range(4000)), [0], [5000]),
     (3, 2, Decimal(2**63 - 1), "last", [-1, 0], [7], [8]),
 ]
+def test_rows_are_encoded_in_pieces():
+    """Of a batch of 48 MB no more than ``_ENCODED_BYTES`` or one row is encoded at a time, in order."""
+    lists = [[i] * 10_000 for i in range(600)] + [[600] * 1_000_000, [601]]
+    batch = pa.RecordBatch.from_arrays([pa.array(lists, pa.list_(pa.int64()))], names=["target"])
+    pieces = list(tfrecord._in_pieces(batch))
+    assert all(p.num_rows == 1 or p.nbytes <= tfrecord._ENCODED_BYTES for p in pieces)
+    assert pa.Table.from_batches(pieces) == pa.Table.from_batches([batch])
+    assert [x for p in pieces for x in tfrecord.encode_examples(p)] == tfrecord.encode_examples(batch)
+
+
 SCHEMA = "n long, shard long, id decimal(20,0), content string, target array<bigint>, offset_start array<bigint>, offset_end array<bigint>"
 
 
