@@ -1,10 +1,12 @@
 """Queries on whole texts over tables of their own."""
 
+import hashlib
 import itertools
+from collections import Counter
 
 import pytest
 
-from corpusmill.catalog import uncut
+from corpusmill.catalog import texts, uncut
 
 
 @pytest.fixture(scope="module")
@@ -31,3 +33,13 @@ def test_model_whatever_the_lexicon(spark, tables):
 def test_lexicon_larger_than_the_vocabulary(spark, tables):
     folder, words = tables
     assert {r.word: r.n for r in uncut.added_tokens_uncut(spark, folder).collect()} == {words[0]: 2, words[7]: 1}
+
+
+def test_files_are_listed_by_tasks(spark, tmp_path, monkeypatch):
+    """The driver never holds the list of the documents' files."""
+    docs = [(i, None if i % 50 == 0 else f"text {i % 7}") for i in range(2500)]
+    spark.createDataFrame(docs, "doc_id long, text string").coalesce(2).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(texts, "files_at", None)
+    found = {r.hash: r.n for r in texts.dedup_files(spark, str(tmp_path)).collect()}
+    kept = Counter(text or "" for _, text in docs)
+    assert found == {hashlib.sha256(f"{text}\n".encode()).hexdigest(): n for text, n in kept.items()}
