@@ -14,13 +14,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from corpusmill.functions.text import strip, trigrams_of
-from corpusmill.operators.lang_weights import Remembered, write_weights
-from corpusmill.plans.skew import join_on_counted_key
+from corpusmill.operators.lang_weights import Remembered, gram_keys, write_weights
+from corpusmill.session import scratch_path
 
 SCALE = 1_000_000
+# Neighbouring units that ask for the weights of their trigrams together, and characters that are added up at a time.
+UNITS_PER_BLOCK, _CHARACTERS_AT_A_TIME = 8192, 1 << 18
 
 
 def train_model(labelled: DataFrame, languages: list[str], text: str = "text", lang: str = "lang") -> DataFrame:
@@ -98,30 +100,54 @@ def score(
 def score_by_join(
     units: DataFrame, model: DataFrame, languages: list[str], keys: list[str], text: str = "text"
 ) -> DataFrame:
-    """``score`` by shuffles: the trigrams are counted per unit in the task they arise in, then
-    looked up in a join, then added up per unit. ``keys`` must be unique together."""
+    """``score`` by shuffles, whatever the size of the model: units are taken in blocks of neighbouring ones, the different trigrams
+    of each block meet their weights in a join, and go back to the units of their block, which add them up. A block repeats
+    its trigrams so often that these rows are few beside the trigrams of all units. ``keys`` must be unique together."""
     k = range(len(languages))
-    counted = (
-        units.select(*keys, F.explode_outer(trigrams_of(strip(F.col(text)))).alias("gram"))
-        .groupBy(*keys, "gram")
-        .agg(F.count(F.lit(1)).alias("times"))
-    )
+    path = scratch_path(units.sparkSession, "lang-units")
+    # Written, so that both readings see the same blocks.
+    block = F.expr(f"monotonically_increasing_id() div {UNITS_PER_BLOCK}")
+    placed = units.select(*keys, strip(F.col(text)).alias("_text")).withColumn("_block", block)
+    placed.write.parquet(path)
+    placed = units.sparkSession.read.schema(placed.schema).parquet(path)
     unseen = model.where("gram = ''").select("weights").scalar()
-    # A frequent trigram occurs in most units: the join spreads the units of each such trigram.
-    weighted = counted.groupBy("gram").agg(F.count(F.lit(1)).alias("n_rows")).join(model, "gram")
-    weights = F.coalesce("weights", unseen)
-    added = [
-        F.sum(F.when(F.col("gram").isNull(), F.lit(0)).otherwise(weights[i] * F.col("times"))).alias(f"s{i}")
-        for i in k
-    ]
-    looked_up = join_on_counted_key(counted, weighted, "gram", keys, "left")
-    summed = looked_up.groupBy(*keys).agg(*added)
+    asked = placed.select("_block", F.explode(trigrams_of(F.col("_text"))).alias("gram")).distinct()
+    weights = asked.join(model, "gram", "left").select(F.col("_block").alias("_asking"), "gram", F.coalesce("weights", unseen).alias("weights"))
+    fields = [placed.schema[key] for key in keys] + [StructField(f"s{i}", LongType()) for i in k]
+
+    def add(rows: pa.Table, looked_up: pa.Table) -> pa.Table:
+        known = _OfBlock(looked_up, len(languages))
+        texts = [t or "" for t in rows["_text"].to_pylist()]
+        ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
+        sums, a = [np.zeros((0, len(languages)), np.int64)], 0
+        while a < len(texts):
+            b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + _CHARACTERS_AT_A_TIME, "right")))
+            sums.append(_weight_sums(texts[a:b], known))
+            a = b
+        total = np.concatenate(sums)
+        return pa.table({**{key: rows[key] for key in keys}, **{f"s{i}": total[:, i] for i in k}})
+
+    parts = placed.groupBy("_block").cogroup(weights.groupBy("_asking")).applyInArrow(add, StructType(fields))
+    summed = parts.groupBy(*keys).agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in k])
     best = F.array_max(F.array(*[F.col(f"s{i}") for i in k]))
     odds = sum((F.exp((F.col(f"s{i}") - F.col("_best")) / SCALE) for i in k), F.lit(0.0))
     label = F.coalesce(*[F.when(F.col(f"s{i}") == F.col("_best"), F.lit(languages[i])) for i in k])
     return summed.withColumn("_best", best).select(*keys, label.alias("lang"), (1 / odds).alias("score"))
 
 
+class _OfBlock:
+    """The weights of all trigrams of a block, from (gram, weights)."""
+
+    def __init__(self, rows: pa.Table, languages: int):
+        keys = gram_keys(rows["gram"].to_pylist())
+        order = np.argsort(keys)
+        weights = rows["weights"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        self.keys, self.weights = keys[order], weights.reshape(-1, languages)[order]
+
+    def of(self, grams: np.ndarray) -> np.ndarray:
+        return self.weights[np.searchsorted(self.keys, grams)]
+
+
 def passes(lang: Column, score: Column, langs: list[str], threshold: float = 0.9, reverse: bool = False) -> Column:
     """Whether a scored unit is kept: wanted language and a score above the threshold, or not that."""
     kept = lang.isin(langs) & (score > threshold)

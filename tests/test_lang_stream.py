@@ -138,3 +138,19 @@ def test_endless_examples_equal_batch(spark):
     n = rows.count()
     assert n >= 100 and n % 50 == 0
     assert rows.exceptAll(sum_one(spark.range(n).withColumnRenamed("id", "sample_id"), 8, 16, 1337)).isEmpty()
+
+
+def test_joined_scores_move_each_trigram_of_a_block_once(spark, model, monkeypatch):
+    """Units of many blocks, also empty ones; equal keys add up; the join sees few trigrams of many equal units."""
+    want = {r.i: r for r in lang.score(spark.createDataFrame(list(enumerate(PROBES)), "i int, text string"), model, LANGUAGES, ["i"]).collect()}
+    units = [(n * 1000 + i, text) for n in range(40) for i, text in enumerate(PROBES)] + [(-1, ""), (-2, None), (-3, "ab")]
+    rows = spark.createDataFrame(units, "i int, text string").repartition(3)
+    for size in (5, 8192):
+        monkeypatch.setattr(lang, "UNITS_PER_BLOCK", size)
+        scored = lang.score_by_join(rows, model, LANGUAGES, ["i"])
+        got = {r.i: r for r in scored.collect()}
+        assert set(got) == {i for i, _ in units}
+        assert all(got[i].lang == want[i % 1000].lang and abs(got[i].score - want[i % 1000].score) < 1e-9 for i in got if i >= 0)
+        assert all((got[i].lang, got[i].score) == (LANGUAGES[0], 1 / len(LANGUAGES)) for i in (-1, -2, -3))
+    # The plan deals out distinct trigrams of blocks, not those of units.
+    assert "_block" in scored._jdf.queryExecution().executedPlan().toString()
