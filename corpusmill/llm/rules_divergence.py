@@ -9,7 +9,8 @@ only compared from a least number of characters or words on; below it, it never
 
 Two base rules come first: too few words, and too large a share of words in repeated windows of eight.
 
-Everything is an expression over one row, but for the references, one row for each of at most ``MOST_REFERENCES`` languages.
+Everything is an expression over one row, but for the references. Those of ``MOST_REFERENCES`` languages are part of the expressions; a
+text that is far from all of these is compared with the references of all other languages by a join.
 
 Defined cases: a null text has no words; a row keeps its own result whatever other rows have its id; documents of
 no language, or of one without a reference, are decided by the base rules; an empty
@@ -38,7 +39,7 @@ COMMON_WORDS = {
 CHARACTERS = ["[aeiou]", "[b-df-hj-np-tv-z]", "[A-Z]", "[0-9]", "[.,;:!?'\"()-]", "[\\x21-\\x7E]", "[\\u00C0-\\u024F]"]
 LEAST_CHARACTERS = 200
 LEAST_COMPARED_WORDS = 100
-# Characters of a language that make a reference, and languages with one: those with the most text.
+# Characters of a language that make a reference, and languages whose references are literals: those with the most text.
 LEAST_REFERENCE, MOST_REFERENCES = 20_000, 64
 FARTHEST_CHARACTERS = 0.32
 FARTHEST_WORDS = 0.28
@@ -111,10 +112,8 @@ def text_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def language_references(statistics: DataFrame, lang: str = "lang") -> dict[str, tuple[list[int], list[int] | None]]:
-    """Character counts, and counts of the language's listed words with all other words last, per language with enough text.
-
-    The sums are over all documents; at most ``MOST_REFERENCES`` rows are read."""
+def _references(statistics: DataFrame, lang: str) -> DataFrame:
+    """(language, characters, common, n_words, word_chars): sums over all documents of each language with enough text."""
     n = len(CHARACTERS) + 1
     language = F.col(f"_doc.`{lang}`").cast("string")
     sums = statistics.where(language.isNotNull()).groupBy(language.alias("language")).agg(
@@ -123,17 +122,34 @@ def language_references(statistics: DataFrame, lang: str = "lang") -> dict[str,
         F.sum("n_words").alias("n_words"),
         F.sum("word_chars").alias("word_chars"),
     )
-    enough = sums.where((F.col("word_chars") >= LEAST_REFERENCE) & (F.col("n_words") > 0))
+    return sums.where((F.col("word_chars") >= LEAST_REFERENCE) & (F.col("n_words") > 0))
+
+
+def language_references(statistics: DataFrame, lang: str = "lang") -> dict[str, tuple[list[int], list[int] | None]]:
+    """Character counts, and counts of the language's listed words with all other words last, of the ``MOST_REFERENCES`` languages with
+    the most text, and of all whose common words are listed. ``further_references`` has the other languages."""
+    enough = _references(statistics, lang)
+    rows = enough.orderBy(F.desc("word_chars"), "language").limit(MOST_REFERENCES).collect()
+    if len(rows) == MOST_REFERENCES:
+        rows += enough.where(F.col("language").isin(*COMMON_WORDS)).collect()
     out = {}
-    for row in enough.orderBy(F.desc("word_chars"), "language").limit(MOST_REFERENCES).collect():
+    for row in rows:
         own = [row["common"][_LISTED.index(w)] for w in COMMON_WORDS.get(row["language"], [])]
         out[row["language"]] = (list(row["characters"]), [*own, row["n_words"] - sum(own)] if own else None)
     return dict(sorted(out.items()))
 
 
-def divergence(counts: Column, total: Column, reference: list[int]) -> Column:
-    """Jensen-Shannon distance of counts that sum up to ``total`` to a reference histogram."""
-    whole = float(sum(reference))
+def further_references(statistics: DataFrame, references: dict, lang: str = "lang") -> DataFrame | None:
+    """(further, shares): shares of the character classes of each language with enough text that is not among ``references``."""
+    if len(references) < MOST_REFERENCES:
+        return None
+    others = _references(statistics, lang).where(~F.col("language").isin(*references))
+    shares = F.transform("characters", lambda x: x / F.col("word_chars"))
+    return others.select(F.col("language").alias("further"), shares.alias("shares"))
+
+
+def divergence(counts: Column, total: Column, reference: list[int] | Column) -> Column:
+    """Jensen-Shannon distance of counts that sum up to ``total`` to a reference histogram, or to a column of its shares."""
 
     def terms(c: Column, q: Column) -> Column:
         p = c / total
@@ -141,13 +157,17 @@ def divergence(counts: Column, total: Column, reference: list[int]) -> Column:
         part = lambda x: F.when(x > 0, x * F.log2(x / m)).otherwise(F.lit(0.0))
         return (part(p) + part(q)) / 2
 
-    shares = F.array(*[F.lit(x / whole) for x in reference])
+    shares = reference
+    if isinstance(reference, list):
+        shares = F.array(*[F.lit(x / float(sum(reference))) for x in reference])
     sum_ = F.aggregate(F.zip_with(counts, shares, terms), F.lit(0.0), lambda s, x: s + x)
     return F.sqrt(F.greatest(sum_, F.lit(0.0)))
 
 
-def judged(statistics: DataFrame, references: dict[str, tuple[list[int], list[int] | None]], lang: str = "lang") -> DataFrame:
-    """Adds ``base_failed``, ``distances`` (language, characters, words) and ``kept``."""
+def judged(
+    statistics: DataFrame, references: dict[str, tuple[list[int], list[int] | None]], lang: str = "lang", further: DataFrame | None = None
+) -> DataFrame:
+    """Adds ``base_failed``, ``distances`` (language, characters, words) to ``references``, and ``kept``."""
     n = F.col("n_words")
     base_failed = (n < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * n)
     distances = []
@@ -170,15 +190,37 @@ def judged(statistics: DataFrame, references: dict[str, tuple[list[int], list[in
     near = lambda d: (
         (F.coalesce(d["characters"], F.lit(0.0)) <= FARTHEST_CHARACTERS) & (F.coalesce(d["words"], F.lit(0.0)) <= FARTHEST_WORDS)
     )
-    told = F.coalesce(F.col(f"_doc.`{lang}`").cast("string").isin(*references), F.lit(False))
+    language = F.col(f"_doc.`{lang}`").cast("string")
+    told = F.coalesce(language.isin(*references), F.lit(False))
     out = out.withColumn("distances", F.array(*distances))
-    return out.withColumn("kept", ~F.col("base_failed") & (~told | F.exists("distances", near)))
+    if further is None:
+        return out.withColumn("kept", ~F.col("base_failed") & (~told | F.exists("distances", near)))
+    columns = [*out.columns, "kept"]
+    out = out.join(further.select("further"), language == F.col("further"), "left")
+    told = told | F.col("further").isNotNull()
+    out = out.withColumn("_open", ~F.col("base_failed") & told & ~F.exists("distances", near)).drop("further")
+    left = out.where("_open")
+    close = divergence(F.col("characters"), F.col("word_chars"), F.col("shares")) <= FARTHEST_CHARACTERS
+    close = (F.col("word_chars") < LEAST_CHARACTERS) | close
+    parts = [
+        out.where("NOT _open").withColumn("kept", ~F.col("base_failed")),
+        left.join(further, close, "left_semi").withColumn("kept", F.lit(True)),
+        left.join(further, close, "left_anti").withColumn("kept", F.lit(False)),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select(*columns)
+
+
+def judged_by_all(statistics: DataFrame, lang: str = "lang") -> DataFrame:
+    """``judged`` by the references of all languages with enough text."""
+    references = language_references(statistics, lang)
+    further = further_references(statistics, references, lang)
+    return judged(statistics, references, lang, None if further is None else stored(further, "further-references"))
 
 
 def quality(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """``_doc`` (the row), its statistics, ``base_failed`` and ``kept``."""
     statistics = stored(text_statistics(docs, text), "text-statistics")
-    return judged(statistics, language_references(statistics, lang), lang)
+    return judged_by_all(statistics, lang)
 
 
 def kept_documents(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -199,6 +241,6 @@ def op5_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         "text-statistics",
     )
-    return judged(narrow, language_references(narrow)).select(
+    return judged_by_all(narrow).select(
         "_doc.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
     )

@@ -94,6 +94,24 @@ def test_rules_keep_good_and_reject_junk(spark):
     assert kept.columns == docs.columns and kept.count() == rules.quality(docs).where("kept").count()
 
 
+def test_rules_compare_with_every_language(spark, monkeypatch):
+    """Texts are judged alike however many references are literals and however many are joined."""
+    rng = random.Random(3)
+    alphabets = {"x1": "abcdefghij", "x2": "0123456789", "x3": "ABCDEFGHIJ", "x4": "\u0430\u0431\u0432\u0433", "en": "etaoinshr"}
+    write = lambda letters, n: " ".join("".join(rng.choices(letters, k=6)) for _ in range(n))
+    rows = [(i, write(letters, 1500 + 50 * k), name) for k, (name, letters) in enumerate(alphabets.items()) for i in range(k * 10, k * 10 + 3)]
+    rows += [(100 + k, write(alphabets["x2"], 90), name) for k, name in enumerate(["x1", "x3", "x4", "en", "none", None])]
+    rows += [(200, write("+=<>[]{}^~", 90), "x1"), (201, write("+=<>[]{}^~", 90), "none"), (202, " ".join(rng.choices("+=~^", k=120)), "x4"), (203, "x", "x2")]
+    rows += [rows[0], rows[-4]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    judge = lambda: sorted((r.doc_id, r.base_failed, r.kept) for r in rules.quality(docs).select("_doc.doc_id", "base_failed", "kept").collect())
+    want = judge()
+    assert {k for i, _, k in want if i == 200} == {False} and {k for i, _, k in want if i == 100} == {True}
+    for most in (1, 2, 5):
+        monkeypatch.setattr(rules, "MOST_REFERENCES", most)
+        assert judge() == want
+
+
 def test_rules_leave_other_languages_alone(spark):
     """Languages without listed words are compared with their own characters, those without a reference not at all."""
     rng = random.Random(3)
