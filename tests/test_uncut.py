@@ -6,7 +6,8 @@ from collections import Counter
 
 import pytest
 
-from corpusmill.catalog import texts, uncut
+from check import compare, connect
+from corpusmill.catalog import texts, tokens, uncut
 
 
 @pytest.fixture(scope="module")
@@ -43,3 +44,12 @@ def test_files_are_listed_by_tasks(spark, tmp_path, monkeypatch):
     found = {r.hash: r.n for r in texts.dedup_files(spark, str(tmp_path)).collect()}
     kept = Counter(text or "" for _, text in docs)
     assert found == {hashlib.sha256(f"{text}\n".encode()).hexdigest(): n for text, n in kept.items()}
+
+
+def test_totals_with_a_whole_vocabulary(spark, tmp_path):
+    """Merges go on until the vocabulary is full or no pair is left: each word becomes one token here. SQL trains the same way."""
+    long = ["".join(chr(97 + (i * k + i // 7) % 26) for i in range(60)) for k in (3, 5)]
+    docs = [(1, f"{long[0]} {long[1]} {long[0]}"), (2, f"{long[1]} {long[0]} {long[1]}")]
+    spark.createDataFrame(docs, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    assert tokens.totals(spark, str(tmp_path)).first().tokens == 6
+    assert compare(spark, connect(str(tmp_path)), str(tmp_path), "encode_totals").startswith("ok")
