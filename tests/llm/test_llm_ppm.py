@@ -104,3 +104,13 @@ def test_longer_contexts_help_on_held_out_texts(spark):
         costs.append(-sum(r["score"] for r in rows))
     n_bytes = sum(len((r["text"] or "").encode()) + 1 for r in docs.where(ppm.held_out(docs.doc_id)).collect())
     assert costs[1] < 0.75 * costs[0] and costs[1] / n_bytes < math.log10(256) / 3
+
+
+def test_rare_contexts_are_kept(spark, monkeypatch):
+    """Contexts that occur once among more than 131,072 bytes count, whatever file of the trie they are in."""
+    monkeypatch.setattr(ppm, "GRAMS_PER_FILE", 1000, raising=False)
+    monkeypatch.setattr(ppm, "_UNSEEN", 100, raising=False)
+    rng = random.Random(6)
+    texts = [(i, "".join(rng.choices("abcdeé \n", k=7000)) + f" rare{i % 9} {chr(0x4E00 + i)}", "s") for i in range(30)]
+    docs = edge_docs(spark, texts)
+    check(docs, ppm.scored(docs, order=3).collect(), 3, 1 << 62)
