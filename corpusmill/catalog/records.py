@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from corpusmill.catalog.feeding import document_sizes
 from corpusmill.catalog.synthetic import LENGTH, SEED, TRAIN_SQL, VOCAB, joined, sum_one
 from corpusmill.catalog.tables import table
-from corpusmill.catalog.tokens import EXAMPLES_SQL, examples
+from corpusmill.catalog.tokens import EXAMPLES_SQL, ascii_texts, encoded_examples
 from corpusmill.operators import records
 from corpusmill.operators.shards import size_shards, with_shard
 from corpusmill.session import cut_lineage, scratch_path
 from corpusmill.sources.sidecar import read_sidecar, write_sidecar
+from corpusmill.sources.tfrecord import placed_by_shard
 
 FILE_BYTES = 300_000
 
@@ -22,9 +23,12 @@ def examples_through_records(compression):
     def query(spark, sf_dir):
         location = scratch_path(spark, "records")
         plan = cut_lineage(size_shards(document_sizes(spark, sf_dir), ["doc_id"], "bytes", FILE_BYTES))
-        rows = with_shard(examples(spark, sf_dir).withColumnRenamed("text", "content"), plan, "doc_id")
         total = plan.agg(F.max("shard") + 1).first()[0]
-        records.write_examples(rows, location, total, compression=compression, order=["doc_id"])
+        # Texts are moved to the files' tasks, their ids are made there.
+        texts = with_shard(ascii_texts(table(spark, sf_dir, "documents").select("doc_id", "text")), plan, "doc_id")
+        encoded = encoded_examples(spark, sf_dir, placed_by_shard(texts, "shard", total or 0, ["doc_id"]))
+        rows = encoded.withColumnRenamed("text", "content")
+        records.write_examples(rows, location, total or 0, compression=compression, placed=True)
         back = records.read_examples(spark, location)
         return joined(
             back.select("content", F.col("id").cast("string").alias("id"), "targets", "offset_start", "offset_end"),

@@ -29,17 +29,17 @@ def unsigned_id(value: Column) -> Column:
 
 def write_examples(
     examples: DataFrame, location: str, total: int, shard: str = "shard", compression: str = "lz",
-    name: str = "dataset", mode: str = "append", order: list[str] | None = None,
+    name: str = "dataset", mode: str = "append", order: list[str] | None = None, placed: bool = False,
 ) -> None:
     """(shard, id, content, target, offset_start, offset_end) to one file per shard. Refuses a folder
-    that is not empty unless ``mode`` is overwrite."""
+    that is not empty unless ``mode`` is overwrite. ``placed`` examples are in the order of their files."""
     # Under names of their own, as they may be columns of the records, too.
     keys = {f"_order_{i}": column for i, column in enumerate(order or [])}
     rows = examples.select(
         shard, *[F.col(column).alias(key) for key, column in keys.items()],
         signed_id(F.col("id")).alias("id"), "content", "target", "offset_start", "offset_end",
     )
-    write_records(rows, location, shard, total, compression, name, mode, list(keys))
+    write_records(rows, location, shard, total, compression, name, mode, list(keys), placed)
 
 
 def read_examples(spark: SparkSession, location: str) -> DataFrame:

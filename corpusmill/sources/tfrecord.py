@@ -416,19 +416,24 @@ def _to_arrow(rows: list[list[bytes]], dtype, name: str) -> pa.Array:
     raise ValueError(f"column {name} has an unsupported type {dtype.simpleString()}")
 
 
+def placed_by_shard(rows: DataFrame, shard: str, total: int, order: list[str]) -> DataFrame:
+    """Rows in the order of their files. The shard is the partition: each task writes one file."""
+    return rows.repartitionById(max(total, 1), F.col(shard).cast("int")).sortWithinPartitions(shard, *order)
+
+
 def write_records(
-    examples: DataFrame, location: str, shard: str | None = None, total: int = 0,
-    compression: str = "lz", name: str = "dataset", mode: str = "append", order: list[str] | None = None,
+    examples: DataFrame, location: str, shard: str | None = None, total: int = 0, compression: str = "lz",
+    name: str = "dataset", mode: str = "append", order: list[str] | None = None, placed: bool = False,
 ) -> None:
-    """Writes one file per shard, its records in ``order``. The plain form writes one file per task."""
+    """Writes one file per shard, its records in ``order``. The plain form writes one file per task.
+
+    ``placed`` examples are written as they stand: what comes from ``placed_by_shard`` row by row, so that texts are shuffled
+    and not what is made of them."""
     register(examples.sparkSession)
-    if shard:
+    if shard and not placed:
         # ``order`` columns only sort; they are not part of the records.
         order = order or []
-        # The shard is the partition: each task writes one file.
-        placed = examples.repartitionById(max(total, 1), F.col(shard).cast("int"))
-        sorted_rows = placed.sortWithinPartitions(shard, *order)
-        examples = sorted_rows.drop(*order)
+        examples = placed_by_shard(examples, shard, total, order).drop(*order)
     writer = examples.write.format("tfrecord").mode(mode).option("compression", compression).option("name", name)
     if shard:
         writer = writer.option("shard", shard).option("total", str(total))

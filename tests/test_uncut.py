@@ -5,7 +5,9 @@ import itertools
 from collections import Counter
 
 import pytest
+from pyspark.sql.readwriter import DataFrameWriter
 
+from __spark_entry__ import queries
 from check import compare, connect
 from corpusmill.catalog import texts, tokens, uncut
 
@@ -53,3 +55,20 @@ def test_totals_with_a_whole_vocabulary(spark, tmp_path):
     spark.createDataFrame(docs, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
     assert tokens.totals(spark, str(tmp_path)).first().tokens == 6
     assert compare(spark, connect(str(tmp_path)), str(tmp_path), "encode_totals").startswith("ok")
+
+
+@pytest.mark.parametrize("name", ["records_roundtrip", "records_roundtrip_plain", "encode_lines_to_records"])
+def test_texts_move_to_the_record_files(spark, tmp_path, monkeypatch, name):
+    """What is made of a text takes many times its room: it is made where it is written, without a shuffle in between."""
+    docs = [(3, "c c\nlines"), (1, "a line\n\nand more"), (None, "no id"), (2, None), (1, "again")]
+    spark.createDataFrame(docs, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    plans, save = [], DataFrameWriter.save
+
+    def seen(self, *args, **options):
+        plans.append(self._df._jdf.queryExecution().sparkPlan().toString())
+        return save(self, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "save", seen)
+    assert queries()[name](spark, str(tmp_path)).count() > 0
+    (plan,) = [p for p in plans if "MapInArrow" in p]
+    assert "Exchange" in plan and plan.index("MapInArrow") < plan.index("Exchange")
