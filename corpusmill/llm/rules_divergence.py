@@ -22,7 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm.words import stored, words
+from corpusmill.llm.words import discard, stored, words
+from corpusmill.plans.skew import without_ids
 
 WINDOW = 8
 LEAST_WORDS = 20
@@ -226,9 +227,15 @@ def quality(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFram
 def kept_documents(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """The rows of ``docs`` that pass, with their columns.
 
-    The statistics are written with the rows: a filter on them would otherwise be rewritten in terms of the text
-    and evaluate them once per reference."""
-    return quality(docs, text, lang).where("kept").select("_doc.*")
+    A row passes or not by its text and language. The statistics are written with a key of these, and the rows of the keys that
+    fail are left out of ``docs``: texts are neither written nor shuffled."""
+    of_text, of_lang = F.col(f"`{text}`"), F.col(f"`{lang}`").cast("string")
+    key = F.xxhash64(of_lang.isNull(), F.coalesce(of_lang, F.lit("")), F.coalesce(of_text, F.lit("")))
+    statistics = text_statistics(docs.select(of_text.alias("text"), of_lang.alias("lang"), key.alias("_row_key")))
+    statistics = stored(statistics.withColumn("_doc", F.struct("_doc.lang", "_doc._row_key")), "text-statistics")
+    failing = stored(judged_by_all(statistics).where("NOT kept").select("_doc._row_key").distinct(), "failing-documents")
+    discard(statistics)
+    return without_ids(docs.withColumn("_row_key", key), failing, "_row_key").select(*[f"`{c}`" for c in docs.columns])
 
 
 def op5_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
